@@ -10,18 +10,21 @@ this is ordinary mini-batch training.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, replace
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.functions.columns import hash_bucket, present, require
+from paylens.models import net_math
 from paylens.models.evaluation import regression_metrics
+from paylens.models.net_math import Layout, adamw_step, forward, gradient, inputs, minibatches
 from paylens.operators.features import (
     cardinalities, cast_numeric_features, clamp_codes, finite_clean, fit_string_index, median_impute,
     minmax_target, numeric_feature_columns, string_index, target_range,
@@ -30,119 +33,8 @@ from paylens.operators.splits import split_with_fallback
 from paylens.schemas import FineTuneParams, NetParams
 from paylens.session import checkpoint, stage_table
 
-
-@dataclass(frozen=True)
-class Layout:
-    """Shapes of the network's arrays inside one flat vector."""
-
-    numbers: tuple[str, ...]
-    categories: tuple[str, ...]
-    cards: tuple[int, ...]
-    hidden: tuple[int, int]
-
-    def shapes(self) -> dict[str, tuple[int, ...]]:
-        widths = [min(32, card // 2 + 1) for card in self.cards]
-        sizes = [len(self.numbers) + sum(widths), *self.hidden, 1]
-        shapes = {f"embedding_{c}": (n, w) for c, n, w in zip(self.categories, self.cards, widths)}
-        for i, (rows, cols) in enumerate(zip(sizes, sizes[1:]), 1):
-            shapes |= {f"weight_{i}": (rows, cols), f"bias_{i}": (cols,)}
-        return shapes
-
-    def size(self) -> int:
-        return sum(int(np.prod(s)) for s in self.shapes().values())
-
-    def arrays(self, flat: np.ndarray) -> dict[str, np.ndarray]:
-        """Views into the flat vector, by name."""
-        out, at = {}, 0
-        for name, shape in self.shapes().items():
-            n = int(np.prod(shape))
-            out[name] = flat[at:at + n].reshape(shape)
-            at += n
-        return out
-
-    def start(self, seed: int) -> np.ndarray:
-        """Embeddings from the unit normal, dense layers uniform in 1/sqrt(inputs)."""
-        rng = np.random.default_rng(seed)
-        flat = np.empty(self.size())
-        fan_in = 1
-        for name, view in self.arrays(flat).items():
-            if name.startswith("embedding"):
-                view[:] = rng.standard_normal(view.shape)
-                continue
-            if name.startswith("weight"):
-                fan_in = view.shape[0]
-            bound = 1 / np.sqrt(max(1, fan_in))
-            view[:] = rng.uniform(-bound, bound, view.shape)
-        return flat
-
-
-def _inputs(pdf: pd.DataFrame, layout: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return (
-        pdf[list(layout.numbers)].to_numpy(float),
-        pdf[list(layout.categories)].to_numpy(np.int64),
-        pdf["y_scaled"].to_numpy(float),
-    )
-
-
-def _forward(w: dict, numbers: np.ndarray, codes: np.ndarray, layout: Layout) -> tuple[np.ndarray, list]:
-    """Prediction, with the layer outputs the gradient needs."""
-    looked_up = [w[f"embedding_{c}"][codes[:, i]] for i, c in enumerate(layout.categories)]
-    x = np.hstack([numbers, *looked_up])
-    h1 = np.maximum(x @ w["weight_1"] + w["bias_1"], 0)
-    h2 = np.maximum(h1 @ w["weight_2"] + w["bias_2"], 0)
-    return (h2 @ w["weight_3"] + w["bias_3"])[:, 0], [x, h1, h2]
-
-
-def _gradient(flat: np.ndarray, numbers, codes, y, layout: Layout) -> tuple[np.ndarray, float]:
-    """Gradient of the mean squared error over finite rows, and the error itself."""
-    w = layout.arrays(flat)
-    predicted, outputs = _forward(w, numbers, codes, layout)
-    error = predicted - y
-    usable = np.isfinite(error)
-    error = np.where(usable, error, 0.0)
-    n = max(1, int(usable.sum()))
-    grad = np.zeros_like(flat)
-    g = layout.arrays(grad)
-    delta = (2 / n * error)[:, None]
-    for i in (3, 2, 1):
-        below = outputs[i - 1]
-        g[f"weight_{i}"][:] = below.T @ delta
-        g[f"bias_{i}"][:] = delta.sum(axis=0)
-        delta = delta @ w[f"weight_{i}"].T
-        if i > 1:
-            delta = delta * (below > 0)
-    at = len(layout.numbers)
-    for i, c in enumerate(layout.categories):
-        table = g[f"embedding_{c}"]
-        np.add.at(table, codes[:, i], delta[:, at:at + table.shape[1]])
-        at += table.shape[1]
-    return grad, float((error ** 2).sum() / n)
-
-
-def _adamw(state: np.ndarray, steps: int, grad: np.ndarray, p: NetParams) -> None:
-    """One clipped AdamW step in place; ``state`` holds weights and both moments as rows."""
-    norm = float(np.sqrt(grad @ grad))
-    if norm > p.max_norm:
-        grad = grad * (p.max_norm / (norm + 1e-6))
-    w, m, v = state
-    w *= 1 - p.lr * p.weight_decay
-    m += 0.1 * (grad - m)
-    v += 0.001 * (grad * grad - v)
-    w -= p.lr * (m / (1 - 0.9 ** steps)) / (np.sqrt(v / (1 - 0.999 ** steps)) + 1e-8)
-
-
-def _minibatches(chunks: Iterable[pd.DataFrame], size: int, rng: np.random.Generator) -> Iterator[pd.DataFrame]:
-    """Cut a stream of Arrow batches into shuffled mini-batches; the remainder is carried on."""
-    rest = None
-    for chunk in chunks:
-        chunk = chunk.iloc[rng.permutation(len(chunk))]
-        rows = chunk if rest is None else pd.concat([rest, chunk])
-        full = len(rows) // size * size
-        for at in range(0, full, size):
-            yield rows.iloc[at:at + size]
-        rest = rows.iloc[full:]
-    if rest is not None and len(rest):
-        yield rest
+# executors need not have the package: its few array functions travel with the tasks
+cloudpickle.register_pickle_by_value(net_math)
 
 
 @dataclass
@@ -222,7 +114,9 @@ def _average(shard_rows: DataFrame, shards: int) -> dict:
 
 def _train_epoch(prepared: Prepared, state: np.ndarray, steps: int, epoch: int, params: NetParams) -> dict:
     """One pass of every shard over its rows, and the average of the results."""
-    layout, seed = prepared.layout, params.random_state
+    # plain values only: what the function refers to is sent to the executors
+    layout, seed, size = prepared.layout, params.random_state, params.batch_size
+    lr, weight_decay, max_norm = params.lr, params.weight_decay, params.max_norm
     shared = prepared.train.sparkSession.sparkContext.broadcast(state)
 
     def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,10 +132,10 @@ def _train_epoch(prepared: Prepared, state: np.ndarray, steps: int, epoch: int,
             yield from chunks
 
         local, done, rows, loss = shared.value.copy(), steps, 0, 0.0
-        for batch in _minibatches(all_chunks(), params.batch_size, np.random.default_rng([seed, epoch, shard])):
-            grad, error = _gradient(local[0], *_inputs(batch, layout), layout)
+        for batch in minibatches(all_chunks(), size, np.random.default_rng([seed, epoch, shard])):
+            grad, error = gradient(local[0], *inputs(batch, layout), layout)
             done += 1
-            _adamw(local, done, grad, params)
+            adamw_step(local, done, grad, lr, weight_decay, max_norm)
             rows += len(batch)
             loss += error * len(batch)
         yield pd.DataFrame({
@@ -262,8 +156,8 @@ def _valid_loss(prepared: Prepared, weights: np.ndarray) -> float:
     def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = layout.arrays(shared.value)
         for pdf in chunks:
-            numbers, codes, y = _inputs(pdf, layout)
-            error = _forward(w, numbers, codes, layout)[0] - y
+            numbers, codes, y = inputs(pdf, layout)
+            error = forward(w, numbers, codes, layout)[0] - y
             error = error[np.isfinite(error)]
             yield pd.DataFrame({"loss": [float(error @ error)], "n": [len(error)]})
 
@@ -286,10 +180,10 @@ def predict(prepared: Prepared, weights: np.ndarray, df: DataFrame | None = None
     def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = layout.arrays(spark_weights.value)
         for pdf in chunks:
-            numbers, codes, y = _inputs(pdf, layout)
+            numbers, codes, y = inputs(pdf, layout)
             yield pd.DataFrame({
                 id_col: pdf[id_col], "y_true": y * span + low,
-                "y_pred": _forward(w, numbers, codes, layout)[0] * span + low, "split": pdf["split"],
+                "y_pred": forward(w, numbers, codes, layout)[0] * span + low, "split": pdf["split"],
             })
 
     columns = [id_col, "split", *layout.numbers, *layout.categories, "y_scaled"]

@@ -73,6 +73,15 @@ def _rows(features: DataFrame, target: str, id_col: str, inputs: Sequence[str])
     return features.select(id_col, target, *inputs).dropna()
 
 
+def _spread(rows: DataFrame, id_col: str) -> DataFrame:
+    """At least one partition per core: every tree level is a pass over the rows.
+
+    A table that already has as many partitions is not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, id_col)
+
+
 def linear_regression(
     features: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES, target: str = "salary_k",
     id_col: str = "job_id", seed: int = 42, fit_on: str = "train",
@@ -91,7 +100,7 @@ def random_forest(
     id_col: str = "job_id", seed: int = 42, num_trees: int = 100, max_depth: int = 10,
 ) -> Fitted:
     """Forest of 100 trees of depth 10, 70/15/15 split."""
-    rows = split_70_15_15(_rows(features, target, id_col, columns), id_col, seed)
+    rows = _spread(split_70_15_15(_rows(features, target, id_col, columns), id_col, seed), id_col)
     return _fit([
         VectorAssembler(inputCols=list(columns), outputCol="features"),
         RandomForestRegressor(
@@ -134,12 +143,18 @@ def random_forest_onehot(
     features: DataFrame, cat_cols: Sequence[str] = CATEGORICAL_FEATURES, target: str = "salary_k",
     id_col: str = "job_id", seed: int = 42, num_trees: int = 100, max_depth: int = 30,
 ) -> Fitted:
-    """Forest on numeric and one-hot columns; depth 30 is the most MLlib grows."""
+    """Forest on numeric and one-hot columns; depth 30 is the most MLlib grows.
+
+    At that depth the rows remember their node in every tree: walking all trees
+    from the root for each level would take several times as long.
+    """
     stages, numbers = _one_hot_pipeline(features, cat_cols, target, id_col)
-    rows = split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed)
+    rows = _spread(
+        split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed), id_col
+    )
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=target, numTrees=num_trees, maxDepth=max_depth, seed=seed,
-        maxMemoryInMB=1024,
+        maxMemoryInMB=1024, cacheNodeIds=True,
     )
     return _fit([*stages, forest], rows, None, target, id_col, "train")
 
