@@ -71,7 +71,7 @@ class Tables:
     @cached_property
     def predictions(self) -> DataFrame:
         """Held-out predictions of the line through salary and experience."""
-        return line_predictions(splits.split_64_16_20(self.features))
+        return stage_table(line_predictions(splits.split_64_16_20(self.features)), "predictions")
 
     @cached_property
     def below_labels(self) -> DataFrame:
