@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, replace
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -73,7 +74,8 @@ def prepare(
     typed_train = cast_numeric_features(train, id_col, target, [*cats, "split"])
     filled = finite_clean(median_impute(typed, numbers, typed_train), numbers)
     scaled = minmax_target(filled, train, target)
-    staged = stage_table(scaled.select(id_col, target, "split", *numbers, *cats, "y_scaled"), "net_rows")
+    # by split, so that an epoch's validation opens the validation files only
+    staged = stage_table(scaled.select(id_col, target, "split", *numbers, *cats, "y_scaled"), "net_rows", "split")
 
     # the bounds and the row count: one row
     of_train = staged.where(F.col("split") == "train")
@@ -127,19 +129,17 @@ def _train_epoch(prepared: Prepared, state: np.ndarray, steps: int, epoch: int,
             return
         shard = int(first["shard"].iloc[0])
 
-        def all_chunks():
-            yield first
-            yield from chunks
-
-        local, done, rows, loss = shared.value.copy(), steps, 0, 0.0
-        for batch in minibatches(all_chunks(), size, np.random.default_rng([seed, epoch, shard])):
-            grad, error = gradient(local[0], *inputs(batch, layout), layout)
+        arrays = (inputs(pdf, layout) for pdf in chain([first], chunks))
+        local, done, rows, loss = shared.value.astype(np.float32), steps, 0, 0.0
+        for batch in minibatches(arrays, size, np.random.default_rng([seed, epoch, shard])):
+            grad, error = gradient(local[0], *batch, layout)
             done += 1
             adamw_step(local, done, grad, lr, weight_decay, max_norm)
-            rows += len(batch)
-            loss += error * len(batch)
+            rows += len(batch[0])
+            loss += error * len(batch[0])
         yield pd.DataFrame({
-            "shard": [shard], "state": [local.ravel()], "steps": [done], "loss": [loss], "n": [float(rows)],
+            "shard": [shard], "state": [local.astype(float).ravel()], "steps": [done], "loss": [loss],
+            "n": [float(rows)],
         })
 
     shard_rows = prepared.train.mapInPandas(run, "shard int, state array<double>, steps bigint, loss double, n double")
@@ -236,8 +236,11 @@ class NetResult:
 
 def load_weights(table: DataFrame, layout: Layout) -> np.ndarray:
     """Flat weights from a table written by ``weights_table``: one row per array of the network."""
-    stored = {r["name"]: r["content"] for r in table.collect()}
-    return np.concatenate([np.asarray(stored[name], float) for name in layout.shapes()])
+    stored = {r["name"]: r for r in table.collect()}
+    for name, shape in layout.shapes().items():
+        if name not in stored or tuple(stored[name]["shape"]) != shape:
+            raise ValueError(f"stored weights do not fit the features: {name} should have shape {shape}")
+    return np.concatenate([np.asarray(stored[name]["content"], float) for name in layout.shapes()])
 
 
 def fit(prepared: Prepared, params: NetParams = NetParams(), initial: np.ndarray | None = None) -> NetResult:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -30,17 +31,22 @@ class Layout:
             shapes |= {f"weight_{i}": (rows, cols), f"bias_{i}": (cols,)}
         return shapes
 
+    @cached_property
+    def places(self) -> list[tuple[str, int, int, tuple[int, ...]]]:
+        """Name, begin, end and shape of every array in the flat vector."""
+        out, at = [], 0
+        for name, shape in self.shapes().items():
+            end = at + int(np.prod(shape))
+            out.append((name, at, end, shape))
+            at = end
+        return out
+
     def size(self) -> int:
-        return sum(int(np.prod(s)) for s in self.shapes().values())
+        return self.places[-1][2]
 
     def arrays(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         """Views into the flat vector, by name."""
-        out, at = {}, 0
-        for name, shape in self.shapes().items():
-            n = int(np.prod(shape))
-            out[name] = flat[at:at + n].reshape(shape)
-            at += n
-        return out
+        return {name: flat[begin:end].reshape(shape) for name, begin, end, shape in self.places}
 
     def start(self, seed: int) -> np.ndarray:
         """Embeddings from the unit normal, dense layers uniform in 1/sqrt(inputs)."""
@@ -59,10 +65,11 @@ class Layout:
 
 
 def inputs(pdf: pd.DataFrame, layout: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, category codes and scaled target of one Arrow batch."""
     return (
-        pdf[list(layout.numbers)].to_numpy(float),
+        pdf[list(layout.numbers)].to_numpy(np.float32),
         pdf[list(layout.categories)].to_numpy(np.int64),
-        pdf["y_scaled"].to_numpy(float),
+        pdf["y_scaled"].to_numpy(np.float32),
     )
 
 
@@ -115,15 +122,17 @@ def adamw_step(
     w -= lr * (m / (1 - 0.9 ** steps)) / (np.sqrt(v / (1 - 0.999 ** steps)) + 1e-8)
 
 
-def minibatches(chunks: Iterable[pd.DataFrame], size: int, rng: np.random.Generator) -> Iterator[pd.DataFrame]:
-    """Cut a stream of Arrow batches into shuffled mini-batches; the remainder is carried on."""
+def minibatches(chunks: Iterable[tuple], size: int, rng: np.random.Generator) -> Iterator[tuple]:
+    """Cut a stream of row arrays into shuffled mini-batches; the remainder is carried on."""
     rest = None
     for chunk in chunks:
-        chunk = chunk.iloc[rng.permutation(len(chunk))]
-        rows = chunk if rest is None else pd.concat([rest, chunk])
-        full = len(rows) // size * size
+        order = rng.permutation(len(chunk[0]))
+        rows = [part[order] for part in chunk]
+        if rest is not None:
+            rows = [np.concatenate(pair) for pair in zip(rest, rows)]
+        full = len(rows[0]) // size * size
         for at in range(0, full, size):
-            yield rows.iloc[at:at + size]
-        rest = rows.iloc[full:]
-    if rest is not None and len(rest):
-        yield rest
+            yield tuple(part[at:at + size] for part in rows)
+        rest = [part[full:] for part in rows]
+    if rest is not None and len(rest[0]):
+        yield tuple(rest)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens.functions.columns import lookup, percent, require
@@ -90,13 +90,24 @@ def median_trend(df: DataFrame, by: str, value: str = "salary_k") -> DataFrame:
     )
 
 
+def pair_correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation of the complete pairs; null where either side does not vary.
+
+    ``corr`` itself fails on a constant column in ANSI mode.
+    """
+    both = a.isNotNull() & b.isNotNull()
+    spread = F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))
+    return F.when(spread > 0, F.covar_pop(a, b) / spread)
+
+
 def pearson(df: DataFrame, x: str = "years_experience", y: str = "salary_k") -> DataFrame:
     """Correlation with its t statistic, as one aggregate."""
     require(df, x, y)
     pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     r, n = F.col("pearson_r"), F.col("n")
     return pairs.agg(
-        F.count(F.lit(1)).alias("n"), F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("pearson_r")
+        F.count(F.lit(1)).alias("n"),
+        pair_correlation(F.col(x).cast("double"), F.col(y).cast("double")).alias("pearson_r"),
     ).withColumn(
         "t_stat", F.when((n > 2) & (F.abs(r) < 1), r * F.sqrt((n - 2) / (1 - r * r)))
     )
@@ -164,19 +175,42 @@ def median_by_value(df: DataFrame, by: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Every pairwise Pearson correlation as (col_a, col_b, corr), from one aggregate."""
+    """Every pairwise Pearson correlation as (col_a, col_b, corr).
+
+    A first pass fetches one row, the means and null counts. The second sums
+    the products of the centred columns: one buffer per pair, small enough to
+    be compiled, where one full correlation per pair is not. Only a pair with
+    nulls is correlated on its own, over its complete rows.
+    """
     names = list(columns or numeric_columns(df))
     require(df, *names)
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    values = df.agg(*[
-        F.corr(F.col(names[i]).cast("double"), F.col(names[j]).cast("double")).alias(f"c{i}_{j}")
-        for i, j in pairs
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    first = values.agg(
+        *[F.avg(c).alias(f"mean_{c}") for c in names],
+        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in names],
+    ).first()
+    centred = values.select(*[
+        (F.col(c) - F.lit(first[f"mean_{c}"] or 0.0)).alias(c) for c in names
     ])
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    gaps = {c for c in names if first[f"null_{c}"]}
+
+    def total(i: int, j: int) -> Column:
+        a, b = F.col(names[i]), F.col(names[j])
+        return pair_correlation(a, b) if gaps & {names[i], names[j]} else F.sum(a * b)
+
+    sums = centred.agg(*[total(i, j).alias(f"c{i}_{j}") for i, j in pairs])
+
+    def corr(i: int, j: int) -> Column:
+        i, j = min(i, j), max(i, j)
+        value = F.col(f"c{i}_{j}")
+        if gaps & {names[i], names[j]}:
+            return value
+        spread = F.sqrt(F.col(f"c{i}_{i}")) * F.sqrt(F.col(f"c{j}_{j}"))
+        return F.when(spread > 0, value / spread)
+
     rows = [
-        F.struct(
-            F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-            F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"),
-        )
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), corr(i, j).alias("corr"))
         for i, a in enumerate(names) for j, b in enumerate(names)
     ]
-    return values.select(F.inline(F.array(*rows)))
+    return sums.select(F.inline(F.array(*rows)))

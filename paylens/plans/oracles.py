@@ -212,6 +212,34 @@ def _codes(column: str) -> str:
   WHERE split = 'train' GROUP BY {column})'''
 
 
+def _least_squares(columns) -> str:
+    """Views ending in ``ols``: least squares by removing one feature after the other.
+
+    Each step takes the projection on the current feature, measured on the
+    training rows, out of the target and of the remaining features.
+    """
+    names = [f"x{i}" for i in range(len(columns))]
+    views = [f'''ols_rows AS (
+SELECT job_id, CASE WHEN b < 7000 THEN 'train' WHEN b < 8500 THEN 'val' ELSE 'test' END AS split,
+  CAST(salary_k AS DOUBLE) AS y_true, {", ".join(f"CAST({c} AS DOUBLE) AS {x}" for c, x in zip(columns, names))} FROM parts
+), ols_mean AS (
+SELECT avg(y_true) AS my, {", ".join(f"avg({x}) AS m{x}" for x in names)} FROM ols_rows WHERE split = 'train'
+), ols_0 AS (
+SELECT job_id, split, y_true, my AS y_pred, y_true - my AS rest, {", ".join(f"{x} - m{x} AS {x}" for x in names)} FROM ols_rows, ols_mean
+)''']
+    for k, x in enumerate(names):
+        later = names[k + 1:]
+        ratios = "".join(f", sum({x} * {z}) / sum({x} * {x}) AS r{z}" for z in later)
+        reduced = "".join(f", {z} - r{z} * {x} AS {z}" for z in later)
+        views.append(f'''ols_p{k} AS (
+SELECT sum({x} * rest) / sum({x} * {x}) AS slope{ratios} FROM ols_{k} WHERE split = 'train'
+), ols_{k + 1} AS (
+SELECT job_id, split, y_true, y_pred + slope * {x} AS y_pred, rest - slope * {x} AS rest{reduced} FROM ols_{k}, ols_p{k}
+)''')
+    views.append(f"ols AS (SELECT job_id, split, y_true, y_pred FROM ols_{len(names)} WHERE split <> 'train')")
+    return ", ".join(views)
+
+
 _EMPLOYEE = ", ".join(_quoted(c) for c in EMPLOYEE_COLUMNS)
 _TEXT = ("job_role", "education", "major", "industry")
 _NUMBERS = ("company_id", "years_experience", "distance_from_cbd", "salary_k")
@@ -338,6 +366,10 @@ ORDER BY median_salary DESC, industry, job_role LIMIT 10)''',
     "q_experience_trend": _trend("years_experience"),
     "q_experience_pearson": '''SELECT n, round(r, 9) AS pearson_r, round(r * sqrt((n - 2) / (1 - r * r)), 6) AS t_stat
 FROM (SELECT count(*) AS n, corr(years_experience, salary_k) AS r FROM clean)''',
+    # beyond |t| = 10 the tail is below 1e-20, which rounds to zero
+    "q_experience_pearson_test": '''SELECT n, round(r, 9) AS pearson_r, round(t, 6) AS t_stat,
+  CASE WHEN abs(t) > 10 THEN CAST(0 AS DOUBLE) END AS p_value, abs(t) > 10 AS significant
+FROM (SELECT n, r, r * sqrt((n - 2) / (1 - r * r)) AS t FROM (SELECT count(*) AS n, corr(years_experience, salary_k) AS r FROM clean))''',
     "q_education_spearman": f'''SELECT count(*) AS n, round(corr(rx, ry), 9) AS spearman_rho FROM (
 SELECT {_AVERAGE_RANK.format(c="education_level")} AS rx, {_AVERAGE_RANK.format(c="salary_k")} AS ry FROM features)''',
     "q_median_by_education": "SELECT l.level, l.education, m.median_salary FROM (VALUES " + ", ".join(
@@ -403,6 +435,7 @@ LEFT JOIN {_codes("industry_role")} c ON parts.industry_role = c.industry_role''
     "one_hot": _union(
         f"SELECT '{c}_' || {c} AS feature_name, count(*) AS n FROM features GROUP BY {c}" for c in ("edu_major", "industry_role")
     ),
+    "one_hot_vectors": _union(f"SELECT job_id, '{c}_' || {c} AS feature_name FROM features" for c in ("edu_major", "industry_role")),
     "cast_numeric_features": "SELECT job_id, salary_k, edu_major, industry_role, " + ", ".join(
         f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC_FEATURES
     ) + " FROM unfiltered",
@@ -420,7 +453,9 @@ FROM parts, (SELECT CAST(min(salary_k) AS DOUBLE) AS lo, CAST(max(salary_k) AS D
     "split_70_15_15": '''SELECT job_id, CASE WHEN b < 7000 THEN 'train' WHEN b < 8500 THEN 'val' ELSE 'test' END AS split FROM parts''',
     "split_fallbacks": '''SELECT job_id, CASE WHEN b < 100 THEN 'test' WHEN b < 2080 THEN 'valid' ELSE 'train' END AS split FROM parts''',
     "split_sizes": "SELECT split, count(*) AS n FROM parts GROUP BY split",
-    # evaluation
+    # models and evaluation
+    "linear_regression": "SELECT job_id, y_true, round(y_pred, 2) AS y_pred, split FROM ols",
+    "linear_regression_metrics": _metrics("ols", "split", 4),
     "regression_metrics": _metrics("pred", "split", 6),
     "predictions_table": "SELECT job_id, y_true, round(y_pred, 6) AS y_pred, split FROM pred",
     "model_comparison": f'''SELECT model, split, rmse, mae, r2 FROM ({_metrics("(" + _union([_line_pred("years_experience"), _line_pred("distance_from_cbd")]) + ")", "model, split", 4)})''',
@@ -433,7 +468,12 @@ SELECT CAST(v AS VARCHAR) AS label, hits, support, CASE WHEN named = 0 THEN 0 EL
 FROM (SELECT v, count(*) FILTER (WHERE y_true = v AND y_pred = v) AS hits, count(*) FILTER (WHERE y_true = v) AS support,
   count(*) FILTER (WHERE y_pred = v) AS named FROM below, (VALUES (0), (1)) l(v) GROUP BY v)
 )'''
-_EXTRA_VIEWS = {"classification_report": _PER_CLASS, "roc_pr_curves": _CURVE, "roc_pr_auc": _CURVE}
+# the handcrafted score is the sum of the four others, so it adds nothing to the span
+_OLS = _least_squares([c for c in NUMERIC_FEATURES if c != "handcrafted_score"])
+_EXTRA_VIEWS = {
+    "classification_report": _PER_CLASS, "roc_pr_curves": _CURVE, "roc_pr_auc": _CURVE,
+    "linear_regression": _OLS, "linear_regression_metrics": _OLS,
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,6 +7,7 @@ from functools import cache
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -411,7 +412,7 @@ def _(t):
 
 @query("q_experience_pearson_test")
 def _(t):
-    return questions.pearson_test(t.clean)
+    return _rounded(questions.pearson_test(t.clean), t_stat=6)
 
 
 @query("q_education_spearman")
@@ -580,7 +581,10 @@ def _(t):
 
 @query("one_hot_vectors")
 def _(t):
-    return features.one_hot(t.features)[0].select("job_id", "one_hot")
+    # the names of the slots that are set, row by row
+    encoded, names = features.one_hot(t.features)
+    named = F.transform(vector_to_array("one_hot"), lambda v, i: F.when(v == 1, F.get(F.array(*map(F.lit, names)), i)))
+    return encoded.select("job_id", F.explode(F.array_compact(named)).alias("feature_name"))
 
 
 @query("cast_numeric_features")
@@ -698,8 +702,9 @@ for _key, _fit in {
     "linear_regression": _linear, "random_forest": _forest,
     "linear_regression_onehot": _linear_onehot, "random_forest_onehot": _forest_onehot,
 }.items():
-    query(_key)(lambda t, fit=_fit: fit(t).predictions)
-    query(f"{_key}_metrics")(lambda t, fit=_fit: fit(t).metrics())
+    # the fit itself is iterative: compared to two places, its metrics to four
+    query(_key)(lambda t, fit=_fit: _rounded(fit(t).predictions, 2))
+    query(f"{_key}_metrics")(lambda t, fit=_fit: _rounded(fit(t).metrics(), 4))
     query(f"{_key}_weights")(lambda t, fit=_fit: fit(t).weights())
 
 query("embedding_regressor")(lambda t: _net(t).predictions())

@@ -111,7 +111,7 @@ class NetParams:
     max_norm: float = 5.0
     hidden: tuple[int, int] = (128, 64)
     # rows one shard trains on between two averagings, and the most shards
-    rows_per_shard: int = 100_000
+    rows_per_shard: int = 25_000
     max_shards: int = 4096
 
 

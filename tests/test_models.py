@@ -1,7 +1,6 @@
 from dataclasses import replace
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
@@ -119,10 +118,11 @@ def test_adamw_first_step(clip):
 
 
 def test_minibatches_keep_every_row():
-    chunks = [pd.DataFrame({"x": range(i, i + 7)}) for i in range(0, 21, 7)]
+    chunks = [(np.arange(i, i + 7), -np.arange(i, i + 7)) for i in range(0, 21, 7)]
     got = list(net_math.minibatches(iter(chunks), 5, np.random.default_rng(0)))
-    assert [len(b) for b in got] == [5, 5, 5, 5, 1]
-    assert sorted(v for b in got for v in b["x"]) == list(range(21))
+    assert [len(a) for a, _ in got] == [5, 5, 5, 5, 1]
+    assert sorted(v for a, _ in got for v in a) == list(range(21))
+    assert all((a == -b).all() for a, b in got)
 
 
 def test_training_lowers_the_loss_and_keeps_the_best(base):
@@ -170,6 +170,8 @@ def test_weights_and_metadata_survive_a_round_trip(spark, base, tmp_path):
     path = writers.write_parquet(base.weights_table(), str(tmp_path / "weights"))
     loaded = net.load_weights(readers.read_parquet(spark, path), base.prepared.layout)
     assert np.array_equal(loaded, base.weights)
+    with pytest.raises(ValueError, match="do not fit"):
+        net.load_weights(base.weights_table(), LAYOUT)
     meta = base.metadata().first()
     assert meta["cat_cols"] == ["edu_major", "industry_role"] and meta["epochs"] == 25
     assert base.history().count() == len(base.losses)

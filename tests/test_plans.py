@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from paylens.operators import cleaning, features, questions, splits
+from paylens.operators import cleaning, features, quality, questions, splits
 
 
 def jobs(spark, run):
@@ -81,3 +81,17 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     text = plan(reduced)
     assert "partial_min" in text
     assert reduced.count() == 20_001
+
+
+def test_hot_key_on_both_sides_never_forms_its_pairs(spark):
+    """A third of both tables share one job: joining the pairs would give 10^10 rows."""
+    n = 300_000
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("job_id")
+    e = spark.range(n).select(key, (F.col("id") % 1000).alias("company_id"))
+    s = spark.range(n).select(key, (F.col("id") % 500 + 3).alias("salary_k"))
+    merged = cleaning.merge_one_per_key(e, s)
+    assert merged.count() == 200_001
+    assert tuple(merged.where("job_id = 0").first()) == (0, 0, 3)
+    audit = quality.merge_audit(e, s).first()
+    assert audit["merged_rows"] == (n // 3) ** 2 + 200_000
+    assert quality.merged_duplicate_counts(e, s).first()["key_duplicates"] == (n // 3) ** 2 - 1

@@ -94,3 +94,20 @@ def test_unknown_estimator(spark):
     df = spark.createDataFrame([("a", 1)], "g string, salary_k int")
     with pytest.raises(ValueError, match="estimator"):
         charts.chart_bar_values(df, "g", estimator="mode")
+
+
+def test_correlation_leaves_out_incomplete_pairs_and_constants(spark):
+    data = [(1.0, 2.0, 7.0), (2.0, None, 7.0), (3.0, 5.0, 7.0), (4.0, 1.0, 7.0), (1e9, 2e9, 7.0)]
+    df = spark.createDataFrame(data, "a double, b double, c double")
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in questions.correlation_matrix(df).collect()}
+    full = [(a, b) for a, b, _ in data if b is not None]
+    assert got["a", "b"] == got["b", "a"] == pytest.approx(statistics.correlation(*zip(*full)))
+    assert got["a", "a"] == pytest.approx(1.0) and got["a", "c"] is None
+
+
+def test_nothing_varies(spark):
+    df = spark.createDataFrame([(2.0, 5)] * 3, "years_experience double, salary_k int")
+    assert tuple(questions.pearson(df).first()) == (3, None, None)
+    assert tuple(questions.median_trend(df, "years_experience").first()) == (None, None)
+    from paylens.operators import profiling
+    assert profiling.skewness(df).first()["skewness"] in (None, 0.0)
