@@ -17,6 +17,7 @@ from paylens.models.evaluation import regression_metrics
 from paylens.operators.features import numeric_feature_columns, one_hot_stages
 from paylens.operators.splits import split_64_16_20, split_70_15_15
 from paylens.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from paylens.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -76,12 +77,22 @@ def _rows(features: DataFrame, target: str, id_col: str, inputs: Sequence[str])
 def _spread(rows: DataFrame, id_col: str) -> DataFrame:
     """At least one partition per core: every tree level is a pass over the rows.
 
-    A table that already has as many partitions is not shuffled.
+    A table that already has as many partitions is not shuffled. The passes
+    also checkpoint on the way, so a folder for that is made sure of.
     """
+    ensure_checkpoint_dir(rows.sparkSession)
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, id_col)
 
 
+def _forest(target: str, num_trees: int, max_depth: int, seed: int) -> RandomForestRegressor:
+    """Rows remember their node in every tree; walking all trees for each level takes far longer."""
+    return RandomForestRegressor(
+        featuresCol="features", labelCol=target, numTrees=num_trees, maxDepth=max_depth, seed=seed,
+        maxMemoryInMB=1024, cacheNodeIds=True,
+    )
+
+
 def linear_regression(
     features: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES, target: str = "salary_k",
     id_col: str = "job_id", seed: int = 42, fit_on: str = "train",
@@ -103,10 +114,7 @@ def random_forest(
     rows = _spread(split_70_15_15(_rows(features, target, id_col, columns), id_col, seed), id_col)
     return _fit([
         VectorAssembler(inputCols=list(columns), outputCol="features"),
-        RandomForestRegressor(
-            featuresCol="features", labelCol=target, numTrees=num_trees, maxDepth=max_depth, seed=seed,
-            maxMemoryInMB=1024,
-        ),
+        _forest(target, num_trees, max_depth, seed),
     ], rows, list(columns), target, id_col, "train")
 
 
@@ -143,19 +151,12 @@ def random_forest_onehot(
     features: DataFrame, cat_cols: Sequence[str] = CATEGORICAL_FEATURES, target: str = "salary_k",
     id_col: str = "job_id", seed: int = 42, num_trees: int = 100, max_depth: int = 30,
 ) -> Fitted:
-    """Forest on numeric and one-hot columns; depth 30 is the most MLlib grows.
-
-    At that depth the rows remember their node in every tree: walking all trees
-    from the root for each level would take several times as long.
-    """
+    """Forest on numeric and one-hot columns; depth 30 is the most MLlib grows."""
     stages, numbers = _one_hot_pipeline(features, cat_cols, target, id_col)
     rows = _spread(
         split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed), id_col
     )
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=target, numTrees=num_trees, maxDepth=max_depth, seed=seed,
-        maxMemoryInMB=1024, cacheNodeIds=True,
-    )
+    forest = _forest(target, num_trees, max_depth, seed)
     return _fit([*stages, forest], rows, None, target, id_col, "train")
 
 

@@ -18,21 +18,20 @@ BUCKETS = 1024
 
 
 def _bucket_edges(df: DataFrame, value: str, by: Sequence[str], sums: Sequence[str], buckets: int) -> Column:
-    """Sorted edges as a scalar subquery: the ``buckets`` values of lowest hash.
+    """Sorted edges as a scalar subquery: the values of the ``buckets`` rows of lowest hash.
 
-    A hash-chosen set of distinct values is the same in every execution, so all
-    branches of a plan agree on it, and it follows the distribution of the
-    values. It only decides where the buckets lie; no row is left out by it.
-    The result has all edges in ``fine`` and every ``step``-th one in ``coarse``.
+    Rows chosen by hash are the same in every execution, so all branches of a
+    plan agree on the edges, and they follow the distribution of the rows: a
+    group with many values gets many edges. The edges only decide where the
+    buckets lie; no row is left out by them. ``fine`` holds all edges,
+    ``coarse`` every ``step``-th one.
     """
     # reading a sum keeps this branch's aggregate equal to the main one, so
     # Spark computes that shuffle once
-    values = df.where(F.col(sums[0]) >= 0).select(value)
-    if by:
-        values = values.distinct()
-    sample = values.orderBy(F.xxhash64(value), value).limit(buckets)
+    rows = df.where(F.col(sums[0]) >= 0).select(*by, value)
+    chosen = rows.orderBy(F.xxhash64(*by, value), *by, value).limit(buckets)
+    edges = chosen.agg(F.sort_array(F.collect_set(value)).alias("fine"))
     step = _step(buckets)
-    edges = sample.agg(F.sort_array(F.collect_list(value)).alias("fine"))
     return edges.select(F.struct(
         F.filter("fine", lambda e, i: i % step == 0).alias("coarse"), "fine"
     )).scalar()

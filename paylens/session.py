@@ -30,11 +30,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/paylens-{uuid.uuid4().hex}/{name}"
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let Spark checkpoint into the shared folder, unless it already has a folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: lineage is cut and survives the loss of executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -66,6 +66,22 @@ def test_one_hot_regression_names_its_slots(tables):
     assert all(r["r2"] > 0.5 for r in fitted.metrics().collect())
 
 
+def test_one_hot_regression_equals_least_squares(tables):
+    from paylens.operators.splits import split_64_16_20
+    fitted = regressors.linear_regression_onehot(tables.features)
+    pdf = split_64_16_20(tables.features).toPandas()
+    train = (pdf["split"] == "train").to_numpy()
+    hot = [(pdf[c].to_numpy()[:, None] == sorted(set(pdf.loc[train, c]))).astype(float) for c in ("edu_major", "industry_role")]
+    x = np.hstack([np.ones((len(pdf), 1)), pdf[list(NUMERIC_FEATURES)].to_numpy(float), *hot])
+    weights = np.linalg.lstsq(x[train], pdf.loc[train, "salary_k"].to_numpy(float), rcond=None)[0]
+    # the prediction is unique where both levels were seen in training
+    seen = np.logical_and(*[h.sum(axis=1) == 1 for h in hot])
+    expected = {j: v for j, v, ok in zip(pdf["job_id"], x @ weights, seen) if ok}
+    got = {r["job_id"]: r["y_pred"] for r in fitted.predictions.collect()}
+    compared = [abs(got[j] - expected[j]) for j in got if j in expected]
+    assert len(compared) > 0.9 * len(got) and max(compared) < 0.01
+
+
 def test_forests_beat_the_mean(tables):
     for fitted in (
         regressors.random_forest(tables.features, num_trees=10),

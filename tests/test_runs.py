@@ -1,6 +1,6 @@
 from conftest import rows
 
-from paylens.plans import pipeline
+from paylens.plans import runs
 from paylens.schemas import FineTuneParams, NetParams
 from paylens.sources import readers, writers
 
@@ -11,14 +11,14 @@ def test_all_steps_from_csv(spark, tables, tmp_path):
     out = str(tmp_path / "out")
     employee = writers.write_csv(tables.raw_employee, str(tmp_path / "employee"))
     salary = writers.write_csv(tables.raw_salary, str(tmp_path / "salary"))
-    pipeline.process_data(spark, employee, salary, out)
-    assert rows(pipeline.read_clean(spark, out)) == rows(tables.clean)
-    assert rows(pipeline.read_features(spark, out)) == rows(tables.features)
+    runs.process_data(spark, employee, salary, out)
+    assert rows(runs.read_clean(spark, out)) == rows(tables.clean)
+    assert rows(runs.read_features(spark, out)) == rows(tables.features)
 
     models = ("linear_regression", "linear_regression_onehot")
-    pipeline.train_models(spark, out, models, PARAMS)
-    pipeline.fine_tune(spark, out, PARAMS, FineTuneParams(epochs=1))
-    compared = pipeline.compare_models(spark, out, (*models, "embedding_regressor", "finetuned"))
+    runs.train_models(spark, out, models, PARAMS)
+    runs.fine_tune(spark, out, PARAMS, FineTuneParams(epochs=1))
+    compared = runs.compare_models(spark, out, (*models, "embedding_regressor", "finetuned"))
     assert {r["model"] for r in compared.collect()} == {*models, "embedding_regressor", "finetuned"}
     path = f"{out}/models/finetuned"
     assert readers.read_json(spark, f"{path}/history", "epoch int, val_loss double").count() == 1
