@@ -24,7 +24,7 @@ def _bucket_edges(df: DataFrame, value: str, by: Sequence[str], sums: Sequence[s
     plan agree on the edges, and they follow the distribution of the rows: a
     group with many values gets many edges. The edges only decide where the
     buckets lie; no row is left out by them. ``fine`` holds all edges,
-    ``coarse`` every ``step``-th one.
+    ``middle`` every ``step``-th one and ``coarse`` every ``step``-th of those.
     """
     # reading a sum keeps this branch's aggregate equal to the main one, so
     # Spark computes that shuffle once
@@ -33,21 +33,28 @@ def _bucket_edges(df: DataFrame, value: str, by: Sequence[str], sums: Sequence[s
     edges = chosen.agg(F.sort_array(F.collect_set(value)).alias("fine"))
     step = _step(buckets)
     return edges.select(F.struct(
-        F.filter("fine", lambda e, i: i % step == 0).alias("coarse"), "fine"
+        F.filter("fine", lambda e, i: i % (step * step) == 0).alias("coarse"),
+        F.filter("fine", lambda e, i: i % step == 0).alias("middle"),
+        "fine",
     )).scalar()
 
 
 def _step(buckets: int) -> int:
-    return max(1, int(buckets ** 0.5))
+    return max(1, round(buckets ** (1 / 3)))
 
 
 def _bucket(value: str, edges: str, step: int) -> Column:
-    """Number of edges at or below the value: coarse steps first, then within one."""
-    coarse = F.size(F.filter(F.col(f"{edges}.coarse"), lambda e: e <= F.col(value)))
-    part = F.slice(F.col(f"{edges}.fine"), F.greatest((coarse - 1) * step + 1, F.lit(1)), F.lit(step))
-    fine = F.size(F.filter(part, lambda e: e <= F.col(value)))
+    """Number of edges at or below the value: among the coarse ones, then within one step at a time."""
+    def at_or_below(part: Column) -> Column:
+        return F.size(F.filter(part, lambda e: e <= F.col(value)))
+
+    found = at_or_below(F.col(f"{edges}.coarse"))
+    none = found == 0
+    for level in ("middle", "fine"):
+        before = (found - 1) * step
+        found = before + at_or_below(F.slice(F.col(f"{edges}.{level}"), F.greatest(before + 1, F.lit(1)), F.lit(step)))
     # never null by construction; saying so keeps the optimizer from testing it on the raw rows
-    return F.coalesce(F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * step + fine), F.lit(0))
+    return F.coalesce(F.when(none, F.lit(0)).otherwise(found), F.lit(0))
 
 
 def running_totals(

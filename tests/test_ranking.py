@@ -77,7 +77,17 @@ def test_buckets_split_a_hot_group(frame):
     counted = ranking.value_counts_by(frame, "v", ["g"])
     edges = ranking._bucket_edges(counted, "v", ["g"], ["n"], 100)
     sizes = (
-        counted.withColumn("_e", edges).withColumn("b", ranking._bucket("v", "_e", 10))
+        counted.withColumn("_e", edges).withColumn("b", ranking._bucket("v", "_e", ranking._step(100)))
         .groupBy("g", "b").count().agg(F.max("count")).first()[0]
     )
     assert sizes < counted.count() / 8
+
+
+@pytest.mark.parametrize("buckets", [1, 10, 30, 1024])
+def test_bucket_is_the_number_of_edges_at_or_below(spark, buckets):
+    df = spark.range(0, 2000, 3).select(F.col("id").alias("v"), F.lit(1).alias("n"))
+    edges = ranking._bucket_edges(df, "v", [], ["n"], buckets)
+    step = ranking._step(buckets)
+    got = df.withColumn("_e", edges).select("v", F.col("_e.fine").alias("e"), ranking._bucket("v", "_e", step).alias("b"))
+    for r in got.collect():
+        assert r["b"] == sum(e <= r["v"] for e in r["e"])
