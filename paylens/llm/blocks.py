@@ -20,7 +20,12 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from paylens.session import stage_table
 
 BLOCK_CHARS = 8_000_000
 
@@ -161,3 +166,50 @@ def cut(sorted_hashes: np.ndarray, n: int, bits: int = 64) -> np.ndarray:
 def columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns: extra ones, whatever their names, never reach an operator."""
     return df.select(*[df[n] for n in names])
+
+
+TOKEN_BLOCK = T.StructType([
+    T.StructField("block", T.StringType()),
+    T.StructField("doc_ids", T.BinaryType()),
+    T.StructField("sizes", T.BinaryType()),
+    T.StructField("tokens", T.BinaryType()),
+    T.StructField("words", T.BinaryType()),
+])
+
+
+def token_blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Blocks of (doc_id, text) rows as numbered words, written to the shared folder and read back.
+
+    A block has its documents' ids and word counts, the words' numbers in the
+    block, and the distinct words. Words are those of ``space_words``.
+    """
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = TaskContext.get().partitionId()
+        for n, block in enumerate(blocks(batches, "text", block_chars)):
+            tokens, ends, words = number_words([space_words(t) for t in texts_of(block, "text")])
+            yield pd.DataFrame({
+                "block": [f"{part}-{n}"], "doc_ids": [pack_ids(ids_of(block, "doc_id"))],
+                "sizes": [pack(np.diff(ends, prepend=0), np.uint32)], "tokens": [pack(tokens, np.uint32)],
+                "words": [pack_bytes(b" ".join(words))],
+            })
+
+    return stage_table(columns(docs, "doc_id", "text").mapInPandas(number, TOKEN_BLOCK), "token_blocks")
+
+
+class TokenBlock:
+    """A row of ``token_blocks``, unpacked."""
+
+    def __init__(self, row):
+        self.block = row.block
+        self.doc_ids = unpack_ids(row.doc_ids)
+        self.sizes = unpack(row.sizes, np.uint32).astype(np.int64)
+        self.tokens = unpack(row.tokens, np.uint32)
+        self.words = unpack_bytes(row.words).split()
+        self.ends = np.cumsum(self.sizes)
+
+
+def with_answers(table: DataFrame, answers: DataFrame) -> DataFrame:
+    """Blocks with their shards' answers in order of the shards: column ``answers``."""
+    of = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("shard", "payload"))).alias("answers"))
+    return table.join(of, "block", "left").withColumn("answers", F.col("answers.payload"))
