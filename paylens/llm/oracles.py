@@ -33,5 +33,47 @@ FROM word_lists LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+_PAGE_HASH = """sha256(
+  coalesce(CAST(length(url) AS VARCHAR), '-') || ':' || coalesce(url, '') ||
+  coalesce(CAST(length(html) AS VARCHAR), '-') || ':' || coalesce(html, ''))"""
+
+FIXITY = f"""
+WITH replica AS (
+  SELECT page_id, url, CASE WHEN page_id % 211 = 17 THEN coalesce(html, '') || '?' ELSE html END AS html
+  FROM (SELECT * FROM pages WHERE page_id % 307 <> 5 UNION ALL SELECT * FROM pages WHERE page_id % 401 = 9)),
+a AS (SELECT page_id, {_PAGE_HASH} AS h, count(*) AS n FROM pages GROUP BY ALL),
+b AS (SELECT page_id, {_PAGE_HASH} AS h, count(*) AS n FROM replica GROUP BY ALL)
+SELECT CAST(page_id // 4096 AS VARCHAR) AS archive, page_id AS "offset", h AS record_sha256,
+       coalesce(a.n, 0) AS n_primary, coalesce(b.n, 0) AS n_replica
+FROM a FULL JOIN b USING (page_id, h) WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)
+"""
+
+_ESCAPED = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'), ']', '&rsqb;')"
+
+CHAT = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(9 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, p.vec_id, CAST(list_dot_product(q.e, p.e) AS BIGINT) AS score
+  FROM v q JOIN v p ON q.vec_id <> p.vec_id AND len(q.e) = len(p.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": DECONTAMINATE}
+    return {"op1_merkle_fixity": FIXITY, "op4_decontaminate": DECONTAMINATE, "op8_chat_format": CHAT, "op9_topk": TOPK}
