@@ -369,27 +369,27 @@ def repeated(docs: DataFrame, tau: int = TAU, least: int = MIN_CHARS, k: int = F
 
 
 def kept_lines(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with ``kept``, the text without repeated lines, and the numbers ``n_lines`` and ``n_dropped``."""
-    drops = repeated(docs, **options).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("places").alias("_places"))
-    both = docs.join(drops, docs["doc_id"].eqNullSafe(drops["_doc"]) & (F.xxhash64(docs["text"]) == drops["_key"]), "left")
-    lines = F.split(docs["text"], "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_places"))
-    text = F.when(F.col("_places").isNull(), docs["text"]).otherwise(
-        F.array_join(F.transform(left, lambda i: F.col("_lines")[i]), "\n"))
-    n = F.when(F.coalesce(F.length(docs["text"]), F.lit(0)) == 0, 0).otherwise(F.size(lines)).cast("long")
-    dropped = F.when(F.col("_places").isNull(), 0).otherwise(F.size("_places")).cast("long")
-    return both.withColumn("_lines", lines).withColumns({"kept": text, "n_lines": n, "n_dropped": dropped}).drop(
-        "_doc", "_key", "_places", "_lines")
+    """(doc_id, text, rest, kept, n_lines, n_dropped): ``kept`` is the text without repeated lines, ``rest`` has the other columns."""
+    rest = F.struct(*[docs[c] for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0).alias("none")])
+    own = docs.select(docs["doc_id"], docs["text"], rest.alias("rest"))
+    drops = repeated(docs, **options).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "places")
+    both = own.join(drops, own["doc_id"].eqNullSafe(drops["_doc"]) & (F.xxhash64("text") == drops["_key"]), "left")
+    lines = F.split("text", "\n", -1)
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("places"))
+    text = F.when(F.col("places").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.col("lines")[i]), "\n"))
+    n = F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.size("lines")).cast("long")
+    dropped = F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long")
+    return both.withColumn("lines", lines).select(
+        "doc_id", "text", "rest", text.alias("kept"), n.alias("n_lines"), dropped.alias("n_dropped"))
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with repeated lines taken out of ``text`` and ``n_chars`` brought up to date.
+    """``docs`` with repeated lines taken out of ``text`` and ``n_chars``, if there is one, brought up to date.
 
     A document that loses every line said nothing of its own and goes; one that never had text stays.
     """
-    names = docs.columns
     done = kept_lines(docs, **options).where("NOT (n_dropped > 0 AND n_dropped = n_lines)")
-    done = done.drop("text").withColumnRenamed("kept", "text")
-    if "n_chars" in names:
-        done = done.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return done.select(*names)
+    of = {c: F.col("rest")[c] for c in docs.columns} | {"doc_id": F.col("doc_id"), "text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        of["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("kept").cast("long")).otherwise(F.col("rest")["n_chars"])
+    return done.select(*[of[c].alias(c) for c in docs.columns])

@@ -202,10 +202,11 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
         place = {int(t): i for i, t in enumerate(model.terms)}
         memory: dict[bytes, tuple[int, ...]] = {}
-        return pd.Series([model.score(_found(t if isinstance(t, str) else None, place, memory)) for t in text], dtype="float64")
+        for text in texts:
+            yield pd.Series([model.score(_found(t if isinstance(t, str) else None, place, memory)) for t in text], dtype="float64")
 
     return docs.where(score(docs["text"]) < THRESHOLD)
