@@ -1,23 +1,55 @@
-"""The corpus pipeline: stages that filter and rewrite ``documents``, each written and read again."""
+"""The corpus pipeline: stages that filter and rewrite ``documents``, each written and read again.
+
+Every stage but the last returns the columns of ``documents``; the last returns the tokens of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paylens.llm import decontaminate
+from paylens.llm import bpe, decontaminate, jaccard, line_dedup, toxicity
 from paylens.session import stage_table
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents that the factorization machine scores 0.3 or more go."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: lines that repeat an earlier one, up to two edits, go; so do documents that lose every line."""
+    return line_dedup.dedup(docs)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: one document stays of each group linked by a similarity of 0.8 of five-word shingles."""
+    return jaccard.one_of_each(docs, n=5, num=80, den=100)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents of which a twentieth repeats benchmark windows go."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """BPE: the ids of every document, and the digest of the text that they decode to."""
+    import public_tokenizers
+
+    rules = bpe.Bpe.load(public_tokenizers.path("word_bpe_49k.json"))
+    done = bpe.decode(bpe.encode(docs, rules), rules)
+    return done.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 STAGES = [
+    ("toxicity", without_toxic),
+    ("line dedup", without_repeated_lines),
+    ("n-gram Jaccard join", without_near_duplicates),
     ("benchmark decontamination", without_benchmark),
+    ("BPE encoding and decoding", tokenized),
 ]
 
-#: Fitted, set-similarity and tokenizer stages have no SQL; tests compare them with brute force.
+#: Fitted, edit-distance, set-similarity and tokenizer stages have no SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
