@@ -6,7 +6,6 @@ Every stage but the last returns the columns of ``documents``; the last returns
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from paylens.llm import bpe, decontaminate, jaccard, line_dedup, toxicity
 from paylens.session import stage_table
@@ -36,9 +35,7 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE: the ids of every document, and the digest of the text that they decode to."""
     import public_tokenizers
 
-    rules = bpe.Bpe.load(public_tokenizers.path("word_bpe_49k.json"))
-    done = bpe.decode(bpe.encode(docs, rules), rules)
-    return done.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+    return bpe.digests(docs, bpe.Bpe.load(public_tokenizers.path("word_bpe_49k.json")), ids=True)
 
 
 STAGES = [

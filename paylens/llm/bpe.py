@@ -18,10 +18,15 @@ from __future__ import annotations
 import hashlib
 import json
 import mmap
+import re
 import tempfile
 import unicodedata
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -51,8 +56,14 @@ LOWERED = (
 
 #: Words in the automaton.
 LEXICON = 50_000
-#: Chunks whose ids a task remembers; the memory starts anew when it is full.
-REMEMBERED = 400_000
+#: Chunks, and words, in a generation of a task's memory.
+REMEMBERED = 300_000
+#: Words of more bytes are merged with a heap.
+LONG = 100
+#: Ids are below this; a merge is one number, its rank times this and its id.
+IDS = 1 << 24
+#: A pair that never merges.
+NEVER = 1 << 62
 
 
 _LATER = regex.compile(f"[{LATER}]")
@@ -71,7 +82,7 @@ class Bpe:
     """Rules of a tokenizer file: byte-level BPE with a word-end mark."""
 
     tokens: list[bytes]  # string of each id, in UTF-8
-    merges: dict[tuple[int, int], tuple[int, int]]  # pair -> (rank, id)
+    merges: dict[tuple[int, int], int]  # pair -> rank * IDS + id
     inner: list[int]  # id of each byte inside a word
     final: list[int]  # id of each byte at its end
     added: dict[str, int]
@@ -93,56 +104,133 @@ class Bpe:
         merges = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            merges.setdefault((vocab[a], vocab[b]), rank * IDS + vocab[a + b])
         symbols = byte_symbols()
         return cls(tokens, merges, [vocab[s] for s in symbols], [vocab[s + end] for s in symbols], added,
                    cutter[0]["pattern"]["Regex"])
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank is merged, leftmost first, until none is left."""
-        ids = [self.inner[b] for b in word[:-1]] + [self.final[word[-1]]]
+        ids = [self.inner[b] for b in word[:-1]]
+        ids.append(self.final[word[-1]])
+        if len(ids) > LONG:
+            return self._merge_long(ids)
         get = self.merges.get
-        while len(ids) > 1:
-            found = [(m[0], i, m[1]) for i, pair in enumerate(zip(ids, ids[1:])) if (m := get(pair))]
-            if not found:
-                break
-            _, i, new = min(found)
-            ids[i:i + 2] = [new]
+        ranks = list(map(get, zip(ids, ids[1:]), repeat(NEVER)))
+        while ranks and (low := min(ranks)) < NEVER:
+            i = ranks.index(low)
+            new = ids[i] = low % IDS
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], new), NEVER)
+            if i < len(ranks):
+                ranks[i] = get((new, ids[i + 1]), NEVER)
         return ids
 
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same for long words: pairs wait in a heap by rank and place, and neighbours are linked."""
+        n, get = len(ids), self.merges.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(m, i, pair) for i, pair in enumerate(zip(ids, ids[1:])) if (m := get(pair)) is not None]
+        heapify(heap)
+        while heap:
+            low, i, pair = heappop(heap)
+            j = after[i]
+            if j >= n or (ids[i], ids[j]) != pair:
+                continue
+            ids[i], ids[j], after[i] = low % IDS, -1, after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for left in (before[i], i):
+                if left >= 0 and after[left] < n and (m := get(pair := (ids[left], ids[after[left]]))) is not None:
+                    heappush(heap, (m, left, pair))
+        return [i for i in ids if i >= 0]
+
 
 class Encoder:
-    """Cuts chunks between ASCII white space into words and encodes them."""
+    """Cuts chunks between ASCII white space into words and encodes them; remembers recent chunks and words."""
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon | None = None):
         self.bpe, self.lexicon = bpe, lexicon
         # white space by its Unicode property, as \s means in the tokenizer's pattern
         self.pattern = regex.compile(bpe.pattern.replace(r"\s", r"\p{White_Space}"))
+        # the same for ASCII, where letters are a-z after lower-casing
+        ascii_only = bpe.pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
+        self.ascii = re.compile(ascii_only.encode()).findall
         self.added = regex.compile("(" + "|".join(map(regex.escape, sorted(bpe.added, key=len, reverse=True))) + ")") if bpe.added else None
+        self.special = re.compile(b"|".join(re.escape(a.encode()) for a in bpe.added) or b"(?!)").search
+        self.chunks, self.seen = Memory(), Memory()
 
     def words(self, chunk: bytes) -> list[bytes | int]:
         """Words as UTF-8 bytes, and added tokens as their ids."""
-        if chunk.isalpha():  # ASCII letters: one word
-            return [chunk.lower()]
+        if chunk.isascii() and not self.special(chunk):
+            return self.ascii(chunk.lower())
         text = chunk.decode()
         out: list[bytes | int] = []
         for part in self.added.split(text) if self.added else [text]:
             if part in self.bpe.added:
                 out.append(self.bpe.added[part])
             elif part:
-                part = unicodedata.normalize("NFC", part).translate(_LOWER).lower()
+                part = unicodedata.normalize("NFC", part)
+                if max(part) < "\u0370":  # before the first letter that needs care
+                    out += [w.encode() for w in self.pattern.findall(part.lower())]
+                    continue
+                part = part.translate(_LOWER).lower()
                 known = _LATER.sub("\ue000", part)  # a character of private use is neither letter nor numeral
                 out += [part[m.start():m.end()].encode() for m in self.pattern.finditer(known)]
         return out
 
-    def chunk(self, chunk: bytes) -> list[int]:
-        ids: list[int] = []
-        for w in self.words(chunk):
-            if isinstance(w, int):
-                ids.append(w)
-            else:
-                ids += (self.lexicon and self.lexicon.get(w)) or self.bpe.merge(w)
-        return ids
+    def word(self, word: bytes) -> bytes:
+        got = self.seen.get(word)
+        if got is None:
+            ids = (self.lexicon and self.lexicon.get(word)) or self.bpe.merge(word)
+            got = self.seen.put(word, array("I", ids).tobytes())
+        return got
+
+    def chunk(self, chunk: bytes) -> bytes:
+        got = self.chunks.get(chunk)
+        if got is None:
+            got = self.chunks.put(chunk, b"".join([array("I", [w]).tobytes() if isinstance(w, int) else self.word(w) for w in self.words(chunk)]))
+        return got
+
+    def text(self, text: str | None) -> bytes:
+        """Ids of a text, as little-endian unsigned 32-bit integers."""
+        chunks = text.encode().split() if text else []
+        out = list(map(self.chunks.young.get, chunks))
+        if None in out:
+            out = [self.chunk(c) if ids is None else ids for c, ids in zip(chunks, out)]
+        return b"".join(out)
+
+
+class Memory:
+    """A cache of two generations: when the younger is full, it replaces the older."""
+
+    def __init__(self, size: int = REMEMBERED):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key: bytes) -> bytes | None:
+        got = self.young.get(key)
+        if got is None and (got := self.old.get(key)) is not None:
+            self.put(key, got)
+        return got
+
+    def put(self, key: bytes, value: bytes) -> bytes:
+        if len(self.young) >= self.size:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+        return value
+
+
+#: The encoder of a worker process, with what it remembers, for the next task of the same job.
+_LAST: dict[str, Encoder] = {}
+
+
+def _encoder(bpe: Bpe, lexicon: bytes) -> Encoder:
+    key = hashlib.sha256(lexicon).hexdigest()
+    if key not in _LAST or _LAST[key].bpe.tokens != bpe.tokens or _LAST[key].bpe.pattern != bpe.pattern:
+        _LAST.clear()
+        _LAST[key] = Encoder(bpe, Lexicon(lexicon))
+    return _LAST[key]
 
 
 class Lexicon:
@@ -243,10 +331,10 @@ def word_counts(docs: DataFrame, bpe: Bpe, block_chars: int = BLOCK_CHARS) -> Da
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(bpe)
         for block in blocks(batches, "text", block_chars):
-            chunks: dict[bytes, int] = {}
+            chunks: Counter[bytes] = Counter()
             for t in texts_of(block, "text"):
-                for c in t.encode().split() if t else ():
-                    chunks[c] = chunks.get(c, 0) + 1
+                if t:
+                    chunks.update(t.encode().lower().split())
             words: dict[bytes, int] = {}
             for c, n in chunks.items():
                 for w in encoder.words(c):
@@ -289,49 +377,50 @@ def frequent_words(docs: DataFrame, bpe: Bpe, size: int = LEXICON, block_chars:
     return [bytes(r.word) for r in top.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
-def encode(docs: DataFrame, bpe: Bpe, lexicon_size: int = LEXICON, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, ids): ``ids`` are little-endian unsigned 32-bit integers."""
-    spark = docs.sparkSession
-    words = frequent_words(docs, bpe, lexicon_size, block_chars)
-    shared = spark.sparkContext.broadcast((bpe, Lexicon.build({w: bpe.merge(w) for w in words})))
+def lexicon_of(docs: DataFrame, bpe: Bpe, size: int = LEXICON, block_chars: int = BLOCK_CHARS) -> bytes:
+    """The automaton of the most frequent words. Its size is bounded by ``size`` and the length of words."""
+    return Lexicon.build({w: bpe.merge(w) for w in frequent_words(docs, bpe, size, block_chars)})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rules, data = shared.value
-        encoder = Encoder(rules, Lexicon(data))
-        memory: dict[bytes, bytes] = {}
-        for block in blocks(batches, "text", block_chars // 4):
-            yield pd.DataFrame({"doc_id": pd.array(ids_of(block, "doc_id"), "Int64"),
-                                "ids": [_ids(t, encoder, memory) for t in texts_of(block, "text")]})
 
-    return columns(docs, "doc_id", "text").mapInPandas(run, "doc_id long, ids binary")
+def encode(docs: DataFrame, bpe: Bpe, lexicon_size: int = LEXICON, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(doc_id, ids, text, n_tokens, ids_sha256, decoded_sha256) of every document; ``text`` is decoded from the ids.
 
+    ``ids`` are little-endian unsigned 32-bit integers; the digests are of them and of the decoded text. Columns that a
+    query does not select are not sent to it.
+    """
+    return _encoded(docs, bpe, lexicon_size, block_chars, ("ids", "text"))
 
-def _ids(text: str | None, encoder: Encoder, memory: dict[bytes, bytes]) -> bytes:
-    out = []
-    for c in text.encode().split() if text else ():
-        got = memory.get(c)
-        if got is None:
-            if len(memory) >= REMEMBERED:
-                memory.clear()
-            got = memory[c] = np.array(encoder.chunk(c), "<u4").tobytes()
-        out.append(got)
-    return b"".join(out)
+
+def digests(docs: DataFrame, bpe: Bpe, lexicon_size: int = LEXICON, block_chars: int = BLOCK_CHARS, ids: bool = False) -> DataFrame:
+    """``encode`` without the decoded text, and with the ids only if asked for."""
+    return _encoded(docs, bpe, lexicon_size, block_chars, ("ids",) if ids else ())
 
 
-def decode(encoded: DataFrame, bpe: Bpe) -> DataFrame:
-    """``encoded`` with the column ``text``: the tokens' strings, joined by a space."""
-    shared = encoded.sparkSession.sparkContext.broadcast(bpe.tokens)
+def _encoded(docs: DataFrame, bpe: Bpe, lexicon_size: int, block_chars: int, more: tuple[str, ...]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((bpe, lexicon_of(docs, bpe, lexicon_size, block_chars)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        token = shared.value.__getitem__
-        for batch in batches:
-            yield batch.assign(text=[b" ".join(map(token, np.frombuffer(i, "<u4").tolist())).decode() for i in batch["ids"]])
+        rules, data = shared.value
+        encoder = _encoder(rules, data)
+        sha = lambda b: hashlib.sha256(b).hexdigest()
+        for block in blocks(batches, "text", block_chars // 8):
+            ids = [encoder.text(t) for t in texts_of(block, "text")]
+            out = {"doc_id": pd.array(ids_of(block, "doc_id"), "Int64"), "n_tokens": [len(i) // 4 for i in ids],
+                   "ids_sha256": [sha(i) for i in ids]}
+            if "text" in more:
+                out["text"] = [decode(i, rules).decode() for i in ids]
+                out["decoded_sha256"] = [sha(t.encode()) for t in out["text"]]
+            else:
+                out["decoded_sha256"] = [sha(decode(i, rules)) for i in ids]
+            if "ids" in more:
+                out["ids"] = ids
+            yield pd.DataFrame(out)
 
-    return encoded.mapInPandas(run, "doc_id long, ids binary, text string")
+    kinds = {"ids": "ids binary", "text": "text string"}
+    schema = ", ".join(["doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", *[kinds[c] for c in more]])
+    return columns(docs, "doc_id", "text").mapInPandas(run, schema)
 
 
-def digests(docs: DataFrame, bpe: Bpe, **options) -> DataFrame:
-    """Per document: tokens, and the digests of its ids and of the text decoded from them."""
-    return decode(encode(docs, bpe, **options), bpe).select(
-        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"))
+def decode(ids: bytes, bpe: Bpe) -> bytes:
+    """The tokens' strings, joined by a space, in UTF-8."""
+    return b" ".join(map(bpe.tokens.__getitem__, memoryview(ids).cast("I")))
