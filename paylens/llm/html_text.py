@@ -203,7 +203,7 @@ def features(blocks: list[Block], has_main: bool) -> np.ndarray:
 class DecisionTree:
     """Binary splits by Gini impurity; ties go to the earlier feature and the lower threshold."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 10, least: int = 2):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 20, least: int = 6):
         self.split: tuple[int, float] | None = None
         self.value = bool(y.mean() >= 0.5) if len(y) else False
         if depth and len(y) >= 2 * least and 0 < y.sum() < len(y) and (best := self._best(x, y, least)):

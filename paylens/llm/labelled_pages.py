@@ -28,13 +28,18 @@ def _article(lengths: list[int]) -> str:
     return f"<h1>{_main(6)}</h1>" + "".join(f"<p>{_main(n)}</p>" for n in lengths)
 
 
-#: Lengths of the paragraphs of an article, one list per variant.
-_LENGTHS = ([40, 1, 25, 80, 3], [2, 1], [120], [15, 30, 8, 60, 200, 1, 1, 12], [5, 400, 7, 2, 33])
+#: Variants of every shape. A variant has its own lengths of paragraphs and of what is not main text.
+VARIANTS = 24
+
+
+def _lengths(k: int) -> list[int]:
+    """Two to eight paragraphs of 1 to 97 words, and now and then a long one."""
+    return [1 + (37 * k + 53 * j + k * j * j) % 97 for j in range(2 + k % 7)] + [300] * (k % 5 == 2)
 
 
 def _shapes(lengths: list[int], k: int) -> list[str]:
     """One page of every shape; ``k`` varies the length of what is not main text."""
-    text, long, nav = _article(lengths), _words(6 + 17 * k), f"<nav><ul>{_links(5 + k)}</ul></nav>"
+    text, long, nav = _article(lengths), _words(2 + 29 * k % 83), f"<nav><ul>{_links(3 + k % 6)}</ul></nav>"
     return [
         f'<html><body>{nav}<div class="ad">{long}</div><article>{text}</article><footer>&copy; site &middot; {long}</footer></body></html>',
         f'<html><body><header><p>{_words(3)}</p>{nav}</header><main>{text}</main><aside><h2>{_words(2)}</h2><p>{long}</p></aside>'
@@ -51,9 +56,9 @@ def _shapes(lengths: list[int], k: int) -> list[str]:
         f'<ul><li>{_main(9)}</li><li>{_main(2)}</li></ul><blockquote>{_main(20)}</blockquote></div></div>'
         f'<div class="comments"><p>{long}</p></div><div class="promo">{long}</div></body></html>',
         # no element says where the main text is: word counts and link densities must tell
-        f'<html><body><div><ul>{_links(7)}</ul></div><div><p>{_main(45)}</p><p>{_main(70)}</p><p>{_main(30 + k)}</p></div>'
+        f'<html><body><div><ul>{_links(7)}</ul></div><div><p>{_main(32 + 11 * k % 70)}</p><p>{_main(40 + 13 * k % 50)}</p><p>{_main(30 + 7 * k % 60)}</p></div>'
         f'<div><ul>{_links(3, 2)}</ul></div><div>{_words(4)}</div></body></html>',
-        f'<html><body><table><tr>{_links(4, 1, "td")}</tr></table><p>{_main(35 + 5 * k)}</p><p>{_main(60)}</p>'
+        f'<html><body><table><tr>{_links(4, 1, "td")}</tr></table><p>{_main(35 + 5 * k)}</p><p>{_main(31 + 17 * k % 60)}</p>'
         f'<p><a href="/y">{_words(8)}</a> {_words(2)}</p><p>{_words(3)}</p></body></html>',
         f'<html><body><header class="site">{long}</header><main><article>{text}<p>{_main(12)} <a href="/z">{_words(4)}</a></p></article>'
         f'<div class="share">{_links(3, 1, "span")}</div></main><div hidden><p>{long}</p></div></body></html>',
@@ -62,12 +67,15 @@ def _shapes(lengths: list[int], k: int) -> list[str]:
         f'<div class="search"><form>{_words(2)}</form></div></body></html>',
         f'<html><body><div class="main-menu">{_links(5)}<p>{long}</p></div><article><header><h1>{_main(7)}</h1></header>{text}'
         f'<nav class="pagination">{_words(5)}</nav><div class="article-notice"><p>{long}</p></div><footer><p>{long}</p></footer></article>'
-        f'<div class="content-footer"><p>{long}</p></div><p>{_words(2 + k)}</p></body></html>',
+        f'<div class="content-footer"><p>{long}</p></div><p>{_words(2 + k % 9)}</p></body></html>',
         f'<html><body><div class="main-header"><p>{long}</p></div><div class="page-body"><main>{text}<div class="sidebar">{long}</div>'
         f'<div style="display:none">{long}</div></main></div><div class="footer">{_words(7)}</div></body></html>',
+        f'<html><body><article><p>{_main(1 + 19 * k % 70)}</p>{text}<p><a href="/z">{_main(1 + k % 12)}</a></p><ul><li><a href="/z">{_main(2)}</a></li><li>{_main(3)}</li></ul></article>'
+        f'<div class="sidebar"><p>{long}</p></div></body></html>',
+        f'<html><body><main><header><h1>{_main(5)}</h1></header><p><a href="/z">{_main(2)}</a></p><p>{_main(1 + 31 * k % 88)}</p><p hidden>{long}</p></main><p>{long}</p></body></html>',
         f'<html><body>{nav}<article><p><a href="/q">{_main(5)}</a></p>{text}</article><div class="advert"><p>{long}</p></div></body></html>',
     ]
 
 
 def labelled_pages() -> list[str]:
-    return [page for k, lengths in enumerate(_LENGTHS) for page in _shapes(lengths, k)]
+    return [page for k in range(VARIANTS) for page in _shapes(_lengths(k), k)]
