@@ -54,8 +54,8 @@ def lookup(name: str, table: Mapping[str, int], kind: str = "int") -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """``part / whole`` in percent with two decimals, halves upward."""
-    return F.floor(part * F.lit(10000.0) / whole + F.lit(0.5)).cast("double") / F.lit(100.0)
+    """``part / whole`` in percent with two decimals, halves to the even one."""
+    return F.bround(part * F.lit(100.0) / whole, 2)
 
 
 def as_double(value: Column, places: int = 9) -> Column:

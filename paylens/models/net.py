@@ -4,8 +4,8 @@ The training rows are placed once: a hash of the id picks the shard and the
 order within it, one partition per shard, checkpointed. An epoch is then one
 Spark job in which every shard runs mini-batches from the same start weights,
 followed by a row-weighted average of weights and optimizer moments. The driver
-holds one weight vector, the learning rate and the loss history. With one shard
-this is ordinary mini-batch training.
+holds one weight vector, the learning rate and the loss history. The number of
+shards follows the rows alone; with one shard this is ordinary mini-batch training.
 """
 
 from __future__ import annotations
@@ -37,6 +37,11 @@ from paylens.session import checkpoint, stage_table
 # executors need not have the package: its few array functions travel with the tasks
 cloudpickle.register_pickle_by_value(net_math)
 
+#: States that one task averages.
+FAN_IN = 16
+#: Most weights a network may have; they are sent to every task, with two moments each while training.
+MAX_WEIGHTS = 20_000_000
+
 
 @dataclass
 class Prepared:
@@ -77,10 +82,15 @@ def prepare(
     # by split, so that an epoch's validation opens the validation files only
     staged = stage_table(scaled.select(id_col, target, "split", *numbers, *cats, "y_scaled"), "net_rows", "split")
 
+    weights = sum(int(np.prod(s)) for s in Layout(
+        tuple(numbers), tuple(cats), tuple(cards[c] for c in cats), tuple(params.hidden)).shapes().values())
+    if weights > MAX_WEIGHTS:
+        raise ValueError(f"the network would have {weights} weights; {MAX_WEIGHTS} can be sent to every task")
+
     # the bounds and the row count: one row
     of_train = staged.where(F.col("split") == "train")
     bounds = target_range(of_train, target).join(of_train.agg(F.count(F.lit(1)).alias("n"))).first()
-    shards = int(min(params.max_shards, max(1, round(bounds["n"] / params.rows_per_shard))))
+    shards = max(1, -(-bounds["n"] // params.rows_per_shard))
     place = hash_bucket(id_col, params.random_state + 1, 2 ** 31)
     placed = (
         of_train.withColumn("_place", place)
@@ -99,18 +109,17 @@ def prepare(
 
 
 def _average(shard_rows: DataFrame, shards: int) -> dict:
-    """Row-weighted mean of the shards' states, in two levels so no task or driver holds them all."""
+    """Row-weighted mean of the shards' states, in a tree: no task reads more than ``FAN_IN`` of them."""
     def mean(df: DataFrame, *by: str) -> DataFrame:
         return df.groupBy(*by).agg(
             Summarizer.mean(F.col("state"), F.col("n")).alias("state"),
             F.max("steps").alias("steps"), F.sum("loss").alias("loss"), F.sum("n").alias("n"),
         )
 
-    level = shard_rows.withColumn("state", array_to_vector("state")).withColumn(
-        "part", F.col("shard") % max(1, int(np.ceil(np.sqrt(shards))))
-    )
-    if shards > 16:
-        level = mean(level, "part")
+    level = shard_rows.withColumn("state", array_to_vector("state")).withColumnRenamed("shard", "part")
+    while shards > FAN_IN:
+        level = mean(level.withColumn("part", F.floor(F.col("part") / FAN_IN)), "part")
+        shards = -(-shards // FAN_IN)
     return mean(level).withColumn("state", vector_to_array("state")).first().asDict()
 
 
@@ -296,7 +305,7 @@ def finetune_grid(
             weight_decay=chosen.get("weight_decay", 0.0),
         )
         runs.append(fit(base.prepared, params, base.weights))
-    table = base.predictions().sparkSession.createDataFrame(
+    table = base.prepared.test.sparkSession.createDataFrame(
         [(r.params.lr, r.params.batch_size, r.params.weight_decay, r.best_loss) for r in runs],
         "lr double, batch_size int, weight_decay double, val_loss double",
     ).orderBy("val_loss", "lr", "batch_size")

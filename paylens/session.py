@@ -2,32 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDERS: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
+    """This application's folder, which every executor can reach.
 
-    ``spark.checkpoint.dir`` is read from the session. Only a local master may
-    fall back to a temporary folder; on a cluster a missing setting is an error,
-    because a machine-local path would be lost with its machine.
+    It lies in the folder that ``spark.checkpoint.dir`` names, or else in the
+    warehouse folder; no setting is changed. It is removed when the application ends.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="paylens-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        folder = f"{base.rstrip('/')}/paylens-{app}"
+        jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(hadoop)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _FOLDERS[app] = folder
+    return _FOLDERS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one written table."""
-    return f"{shared_dir(spark)}/paylens-{uuid.uuid4().hex}/{name}"
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -1,4 +1,5 @@
 from conftest import rows
+from pyspark.sql import functions as F
 
 from paylens.operators import cleaning, profiling, quality
 
@@ -58,3 +59,18 @@ def test_removed_levels_leave_the_domain(tables):
     before = {r["level"] for r in quality.active_category_domain(tables.unique, ["industry"]).collect()}
     after = {r["level"] for r in quality.active_category_domain(tables.valid, ["industry"]).collect()}
     assert before - after == {"GOVERNMENT"}
+
+
+def test_percent_rounds_halves_to_even(spark):
+    from paylens.functions.columns import percent
+
+    row = spark.range(1).select(percent(F.lit(1), F.lit(800)).alias("a"), percent(F.lit(3), F.lit(800)).alias("b")).first()
+    assert (row["a"], row["b"]) == (0.12, 0.38)
+
+
+def test_merged_listing_equals_the_listing_of_the_join(spark):
+    e = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (None, "d"), (4, "e")], "job_id long, x string")
+    s = spark.createDataFrame([(1, 10), (2, 20), (2, 20), (3, 30), (None, 5)], "job_id long, y int")
+    got = [tuple(r) for r in quality.merged_duplicate_listing(e, s).collect()]
+    assert got == [tuple(r) for r in quality.duplicate_listing(e.join(s, "job_id")).collect()] == [
+        (1, "a", 10), (1, "a", 10), (2, "b", 20), (2, "b", 20)]

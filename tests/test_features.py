@@ -22,10 +22,9 @@ def test_finite_clean(spark):
     assert [r["x"] for r in features.finite_clean(df, ["x", "absent"]).collect()] == [1.5, 0.0, 0.0, 0.0, 0.0]
 
 
-@pytest.mark.parametrize("max_broadcast", [100, 1])
-def test_codes_with_and_without_broadcast(spark, max_broadcast):
+def test_codes_by_frequency(spark):
     train = spark.createDataFrame([("b",), ("b",), ("a",), ("c",), ("c",), (None,)], "t string")
-    index = features.LabelIndex(train, "t", by_frequency=True, max_broadcast=max_broadcast)
+    index = features.LabelIndex(train, "t", by_frequency=True)
     data = spark.createDataFrame([("a",), ("b",), ("c",), ("new",), (None,)], "t string")
     got = {r["t"]: r["t_code"] for r in index.transform(data, unseen=index.size).collect()}
     assert got == {"b": 0, "c": 1, "a": 2, "new": 3, None: 3}

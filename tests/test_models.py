@@ -196,3 +196,18 @@ def test_weights_and_metadata_survive_a_round_trip(spark, base, tmp_path):
 def test_categoricals_may_be_absent(tables):
     result = net.embedding_regressor(tables.features.drop("edu_major", "industry_role"), NetParams(epochs=1))
     assert result.prepared.layout.cards == () and result.metrics().count() == 1
+
+
+def test_forest_does_not_depend_on_the_layout(tables):
+    """The rows' ids place them, not the partitions they come in."""
+    a, b = (
+        {r["job_id"]: r["y_pred"] for r in regressors.random_forest(tables.features.repartition(n), num_trees=5, max_depth=4).predictions.collect()}
+        for n in (4, 7)
+    )
+    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-6
+
+
+def test_a_network_too_large_to_be_sent_is_an_error(tables, monkeypatch):
+    monkeypatch.setattr(net, "MAX_WEIGHTS", 10)
+    with pytest.raises(ValueError, match="weights"):
+        net.prepare(tables.features)
