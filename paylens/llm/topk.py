@@ -30,9 +30,9 @@ from paylens.session import stage_table
 #: Vectors per block, on average.
 BLOCK = 8192
 #: Nodes of up to so many vectors have no children: of data, of queries.
-LEAF, QUERY_LEAF = 128, 32
+LEAF, QUERY_LEAF = 64, 8
 #: A child's radius is the parent's divided by this. In many dimensions most distances are alike; 2 would part all rows.
-BASE = 1.2
+BASE = 1.5
 
 
 class CoverTree:

@@ -50,14 +50,14 @@ def test_odd_rows(spark):
 
 def test_large_components_are_exact():
     rng = np.random.default_rng(4)
-    q, d = (np.floor(rng.normal(size=(n, 6)) * 2**29) for n in (5, 300))
+    q, d = (np.floor(rng.normal(size=(n, 6)) * 2**27) for n in (5, 300))
     i, j, score, _ = M.search(q, np.arange(5) - 10, d, np.arange(300), 4)
     exact = [[sum(int(a) * int(b) for a, b in zip(x, y)) for y in d] for x in q]
     for r in range(5):
         assert [(int(s), int(c)) for s, c in zip(score[i == r], j[i == r])] == [
             (-s, c) for s, c in sorted((-s, c) for c, s in enumerate(exact[r]))[:4]]
     with pytest.raises(ValueError):
-        M.search(q * 2**10, np.arange(5), d, np.arange(300), 4)
+        M.search(q * 2**12, np.arange(5), d, np.arange(300), 4)
 
 
 def test_trees_cover_and_keep_their_distance():
