@@ -9,12 +9,13 @@ replaced. Shorter lines stay as they are.
    is indexed under its segments (with l and the segment's number) and probes, for every length from
    l - tau to l, the substrings that a segment of such a line can have moved to. Both sides travel
    as packed hashes, one array per block and shard; shards match them.
-3. A pair that meets must also have similar sketches: the parities of its pairs of neighbouring characters in 32 bits, of
+3. A pair that meets must also have similar sketches: the parities of its pairs of neighbouring characters in 64 bits, of
    which an edit changes four at most.
 4. Pairs are verified once, by the bit-parallel banded algorithm for edit distance, many pairs at a time. The texts of the
    lines to verify are fetched by a second scan, through a bitmap of their ids of fixed size.
-   In a round a line meets the first ``k`` of its partners in every group; a line that is dropped needs no more, and
-   k grows until a round leaves no partner of a kept line out. So the pairs of a round grow with the lines, not with a group's square.
+   In a round a line meets the next of its partners in every group, in the order of ids: the first ``k``, then ``GROWTH`` times as
+   many. A line that is dropped needs no more; rounds go on until no partner of a kept line is left out. So the pairs of
+   a round grow with the lines, not with a group's square.
 
 Null and empty texts have no lines that take part; their rows stay. A null doc_id comes after all others. Documents of one
 doc_id go by a hash of the text; rows that repeat doc_id and text are one document and keep the same lines. Only line feeds end a line.
@@ -36,11 +37,13 @@ from paylens.session import stage_table
 TAU = 2
 MIN_CHARS = 24
 #: Partners that a line meets per group in the first round, and how they grow.
-FIRST_ROUND, GROWTH = 64, 8
+FIRST_ROUND, GROWTH = 64, 16
 #: Bits of a key and of a line's id. Collisions only cost a verification.
 KEY_BITS, ID_BITS = 48, 40
 #: Bits of the bitmap of ids: 4 MB, however many lines there are.
 BITMAP_BITS = 1 << 25
+#: Characters hashed at a time.
+PORTION = 500_000
 #: Pairs verified together.
 LANES = 2048
 
@@ -55,7 +58,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Rolling:
-    """Hashes of any substrings of many lines, from sums of character times power."""
+    """Hashes of any substrings of many lines, from sums of character times power; the caller mixes them."""
 
     def __init__(self, lines: list[str]):
         self.points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
@@ -67,7 +70,7 @@ class Rolling:
 
     def hashes(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         s = self.starts[rows] + start
-        return mix((self.sums[s + size] - self.sums[s]) * self.back[s])
+        return (self.sums[s + size] - self.sums[s]) * self.back[s]
 
 
 def _segment(length: np.ndarray, i: int, tau: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,14 +80,13 @@ def _segment(length: np.ndarray, i: int, tau: int) -> tuple[np.ndarray, np.ndarr
     return i * size + np.maximum(0, i - short), size + (i >= short)
 
 
-def segment_keys(lines: list[str], tau: int, shortest: int) -> tuple[np.ndarray, ...]:
+def segment_keys(r: Rolling, tau: int, shortest: int) -> tuple[np.ndarray, ...]:
     """Keys of the lines' segments, and of all substrings to probe: (key, row) for both.
 
     A probe tries lengths l from its own down to tau less, but not below ``shortest``, and in
     segment i the starts that leave at most i edits to its left and tau - i to its right.
     """
-    r = Rolling(lines)
-    rows = np.arange(len(lines))
+    rows = np.arange(len(r.lengths))
     index, probe = [], []
     for less in range(tau + 1):
         length = r.lengths - less
@@ -103,12 +105,11 @@ def segment_keys(lines: list[str], tau: int, shortest: int) -> tuple[np.ndarray,
 
 
 def sketches(r: Rolling) -> np.ndarray:
-    """Parities of each line's pairs of neighbouring characters, in 32 bits. Lines have two characters at least."""
+    """Parities of each line's pairs of neighbouring characters, in 64 bits. Lines have two characters at least."""
     if not len(r.lengths):
-        return np.zeros(0, np.uint32)
-    pairs = mix(r.points[:-1].astype(np.uint64) << np.uint64(32) | r.points[1:].astype(np.uint64)) >> np.uint64(59)
-    bits = np.uint32(1) << pairs.astype(np.uint32)
-    bits = np.append(bits, np.uint32(0))
+        return np.zeros(0, np.uint64)
+    pairs = mix(r.points[:-1].astype(np.uint64) << np.uint64(32) | r.points[1:].astype(np.uint64)) >> np.uint64(58)
+    bits = np.append(np.uint64(1) << pairs, np.uint64(0))
     bits[r.starts[1:] - 1] = 0  # pairs that span two lines
     return np.bitwise_xor.reduceat(bits, r.starts)
 
@@ -122,30 +123,47 @@ def _lines(block: pd.DataFrame, least: int) -> list[str]:
     return list(dict.fromkeys(x for t in texts_of(block, "text") if t for x in t.split("\n") if len(x) >= least))
 
 
-def candidates(docs: DataFrame, tau: int, least: int, k: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Pairs (a, b) of line ids that share a segment and have similar sketches; (a, a) if a has partners beyond the first k."""
+def _portions(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Runs of lines with about PORTION characters, and where they start: hashing takes some 50 bytes a character."""
+    start = size = 0
+    for i, x in enumerate(lines):
+        size += len(x)
+        if size >= PORTION or i + 1 == len(lines):
+            yield start, lines[start:i + 1]
+            start, size = i + 1, 0
+
+
+def candidates(docs: DataFrame, tau: int, least: int, met: int, k: int, first: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Pairs (a, b) of line ids that share a segment and have similar sketches; (a, a) if a has partners beyond the first k.
+
+    Partners up to the ``met``-th of either line were listed before and are left out; ``first`` is the k of the first round.
+    """
     count = shards(docs.sparkSession)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in blocks(batches, "text", block_chars):
             lines = _lines(block, least)
             ids = np.fromiter(map(line_id, lines), np.uint64, len(lines))
-            marks = sketches(Rolling(lines))
             out: dict[str, list] = {"shard": list(range(count))}
-            index_key, index_row, probe_key, probe_row = segment_keys(lines, tau, least)
-            for side, key, row in (("i", index_key, index_row), ("p", probe_key, probe_row)):
-                key = key >> np.uint64(64 - KEY_BITS)
-                order = np.argsort(key, kind="stable")
+            parts = []
+            for start, some in _portions(lines):
+                r = Rolling(some)
+                index_key, index_row, probe_key, probe_row = segment_keys(r, tau, least)
+                parts.append((sketches(r), index_key, index_row + start, probe_key, probe_row + start))
+            marks, *sides = map(np.concatenate, zip(*parts)) if parts else [np.zeros(0, np.uint64)] * 5
+            for side, key, row in (("i", *sides[:2]), ("p", *sides[2:])):
+                key, row = key >> np.uint64(64 - KEY_BITS), row.astype(np.int64)
+                order = np.argsort(key)
                 key, row = key[order], row[order]
                 at = cut(key, count, KEY_BITS)
                 parts = list(zip(at, at[1:]))
                 out[f"{side}_keys"] = [pack_sorted(key[a:b]) for a, b in parts]
                 out[f"{side}_ids"] = [pack(ids[row[a:b]], np.uint64) for a, b in parts]
-                out[f"{side}_marks"] = [pack(marks[row[a:b]], np.uint32) for a, b in parts]
+                out[f"{side}_marks"] = [pack(marks[row[a:b]], np.uint64) for a, b in parts]
             yield pd.DataFrame(out)
 
     def match(key, frame: pd.DataFrame) -> pd.DataFrame:
-        a, b = _meet(*_side(frame, "i"), *_side(frame, "p"), 4 * tau, k)
+        a, b = _meet(*_side(frame, "i"), *_side(frame, "p"), 4 * tau, met, k, first)
         return pd.DataFrame({"a": a.astype(np.int64), "b": b.astype(np.int64)}).drop_duplicates()
 
     fields = ", ".join(f"{s}_{f} binary" for s in "ip" for f in ("keys", "ids", "marks"))
@@ -157,7 +175,7 @@ def _side(frame: pd.DataFrame, side: str) -> tuple[np.ndarray, np.ndarray, np.nd
     """All blocks' entries of a shard, distinct and sorted by key and id."""
     keys = np.concatenate([unpack_sorted(v) for v in frame[f"{side}_keys"]])
     ids = np.concatenate([unpack(v, np.uint64) for v in frame[f"{side}_ids"]])
-    marks = np.concatenate([unpack(v, np.uint32) for v in frame[f"{side}_marks"]])
+    marks = np.concatenate([unpack(v, np.uint64) for v in frame[f"{side}_marks"]])
     order = np.lexsort((ids, keys))
     keys, ids, marks = keys[order], ids[order], marks[order]
     new = np.ones(len(keys), bool)
@@ -165,45 +183,49 @@ def _side(frame: pd.DataFrame, side: str) -> tuple[np.ndarray, np.ndarray, np.nd
     return keys[new], ids[new], marks[new]
 
 
-def _meet(i_keys, i_ids, i_marks, p_keys, p_ids, p_marks, limit: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of ids under the same key, smaller id first; per line and group the first k by id, then a pair with itself."""
-    names, first, size = np.unique(i_keys, return_index=True, return_counts=True)
+def _meet(i_keys, i_ids, i_marks, p_keys, p_ids, p_marks, limit: int, met: int, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids under the same key, smaller id first; per line and group the partners after the first ``met`` to the k-th.
+
+    A line with more has a pair with itself. Groups in which nobody can have more than ``least`` partners, or with few pairs
+    in all, are listed whole in the first round.
+    """
+    names, starts, size = np.unique(i_keys, return_index=True, return_counts=True)
     if not len(names) or not len(p_keys):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     at = np.minimum(np.searchsorted(names, p_keys), len(names) - 1)
     hit = names[at] == p_keys
     probes, group = np.flatnonzero(hit), at[hit]
     per_group = np.bincount(group, minlength=len(names))
-    large = (size * per_group > k * k) & (np.maximum(size, per_group) > k)
+    large = (size * per_group > least * least) & (np.maximum(size, per_group) > least)
     a, b = [], []
 
-    plain = ~large[group]  # groups in which nobody can have more than k partners, or few pairs in all
+    plain = ~large[group] & (met == 0)
     p, g = probes[plain], group[plain]
     times = size[g]
     rows = np.repeat(p, times)
-    cols = np.repeat(first[g], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    cols = np.repeat(starts[g], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     ok = (i_ids[cols] != p_ids[rows]) & (np.bitwise_count(i_marks[cols] ^ p_marks[rows]) <= limit)
     a.append(i_ids[cols[ok]])
     b.append(p_ids[rows[ok]])
 
     for g in np.flatnonzero(large).tolist():
-        inside = slice(first[g], first[g] + size[g])
+        inside = slice(starts[g], starts[g] + size[g])
         ids, marks = i_ids[inside], i_marks[inside]
         seekers = probes[group == g]
-        met = np.zeros(len(ids), np.int64)
+        count = np.zeros(len(ids), np.int64)
         for s in range(0, len(seekers), 512):  # strips of probes against the whole list
             rows = seekers[s:s + 512]
             ok = (ids[None, :] != p_ids[rows][:, None]) & (np.bitwise_count(marks[None, :] ^ p_marks[rows][:, None]) <= limit)
-            down = np.cumsum(ok, axis=0) + met
-            y, x = np.nonzero(ok & ((np.cumsum(ok, axis=1) <= k) | (down <= k)))
+            rank = np.minimum(np.cumsum(ok, axis=0) + count, np.cumsum(ok, axis=1))
+            y, x = np.nonzero(ok & (rank > met) & (rank <= k))
             a.append(ids[x])
             b.append(p_ids[rows[y]])
             more = p_ids[rows[ok.sum(axis=1) > k]]
             a.append(more)
             b.append(more)
-            met += ok.sum(axis=0)
-        a.append(ids[met > k])
-        b.append(ids[met > k])
+            count += ok.sum(axis=0)
+        a.append(ids[count > k])
+        b.append(ids[count > k])
     a, b = np.concatenate(a), np.concatenate(b)
     return np.minimum(a, b), np.maximum(a, b)
 
@@ -277,7 +299,7 @@ def _at_row(vp: np.ndarray, vn: np.ndarray, distance: np.ndarray, back: np.ndarr
 
 def _bitmap(ids: DataFrame) -> bytes:
     """A bitmap of fixed size with a bit for every id (column ``id``), put together from pages of 4 kB."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS))
+    bit = F.col("id") % BITMAP_BITS
     pages = ids.select(F.floor(bit / 32768).cast("int").alias("page"), (bit % 32768).cast("int").alias("bit")).distinct()
 
     def fill(key, frame: pd.DataFrame) -> pd.DataFrame:
@@ -292,14 +314,18 @@ def _bitmap(ids: DataFrame) -> bytes:
 
 
 def line_rows(docs: DataFrame, least: int) -> DataFrame:
-    """(key, doc_id, text_key, place) of every line that takes part; ``place`` counts from 0."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    return lines.where(F.length("line") >= least).select(F.unhex(F.md5("line")).alias("key"), "doc_id", "text_key", "place")
-
+    """(key, doc_id, text_key, place, at) of every line that takes part; ``place`` counts from 0, ``at`` orders all lines.
 
-def _occurrence() -> Column:
-    """What orders occurrences: doc_id with nulls last, a hash of the text, the place."""
-    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "place")
+    ``at`` is one number of the doc_id (null is the largest), 24 bits of the hash of the text, and the place:
+    its minimum is found by a hash aggregation, without sorting lines.
+    """
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
+    whole = lambda c, digits: c.cast(f"decimal({digits},0)")
+    doc = F.coalesce(whole(F.col("doc_id"), 19), F.lit(str(2**63)).cast("decimal(19,0)"))
+    text = whole(F.pmod("text_key", F.lit(1 << 24)), 8)
+    at = (doc * F.lit(1 << 24).cast("decimal(8,0)") + text) * F.lit(1 << 31).cast("decimal(10,0)") + whole(F.col("place"), 10)
+    return lines.where(F.length("line") >= least).select(
+        F.unhex(F.md5("line")).alias("key"), "doc_id", "text_key", "place", at.cast("decimal(38,0)").alias("at"))
 
 
 def _id_of(key: Column) -> Column:
@@ -312,18 +338,17 @@ def texts_of_ids(docs: DataFrame, ids: DataFrame, least: int, block_chars: int =
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.frombuffer(shared.value, np.uint8)
         for block in blocks(batches, "text", block_chars):
             lines = _lines(block, least)
-            yield pd.DataFrame({"line": lines, "id": np.fromiter(map(line_id, lines), np.int64, len(lines))})
-
-    @F.pandas_udf("boolean")
-    def marked(bit: pd.Series) -> pd.Series:
-        bit = bit.to_numpy()
-        return pd.Series(np.frombuffer(shared.value, np.uint8)[bit >> 3] >> (7 - (bit & 7)) & 1 == 1)
+            own = np.fromiter(map(line_id, lines), np.int64, len(lines))
+            bit = own % BITMAP_BITS
+            chosen = np.flatnonzero(bits[bit >> 3] >> (7 - (bit & 7)) & 1)
+            if len(chosen):
+                yield pd.DataFrame({"line": [lines[i] for i in chosen.tolist()], "id": own[chosen]})
 
     lines = columns(docs, "text").mapInPandas(pick, "line string, id long")
-    lines = lines.where(marked(F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS))))
-    return lines.distinct().join(ids, "id", "left_semi").select(F.unhex(F.md5("line")).alias("key"), "id", "line")
+    return lines.join(ids, "id", "left_semi").distinct().select(F.unhex(F.md5("line")).alias("key"), "id", "line")
 
 
 def verified(pairs: DataFrame, lines: DataFrame, tau: int) -> DataFrame:
@@ -343,11 +368,11 @@ def repeated(docs: DataFrame, tau: int = TAU, least: int = MIN_CHARS, k: int = F
     if not 2 * tau + 2 <= least:
         raise ValueError("lines must be longer than twice the threshold")
     docs = columns(docs, "doc_id", "text")
-    rows = line_rows(docs, least)
-    classes = stage_table(rows.groupBy("key").agg(F.min(_occurrence()).alias("first"), F.count("*").alias("n")), "lines")
-    tried, gone = None, None
+    rows = stage_table(line_rows(docs, least), "lines")
+    classes = stage_table(rows.groupBy("key").agg(F.min("at").alias("first"), F.count("*").alias("n")), "line_classes")
+    tried, gone, met, first = None, None, 0, k
     while True:
-        pairs = stage_table(candidates(docs, tau, least, k, block_chars), "line_pairs")
+        pairs = stage_table(candidates(docs, tau, least, met, k, first, block_chars), "line_pairs")
         new = pairs.where("a != b")
         if tried is not None:
             new = new.join(tried, ["a", "b"], "left_anti")
@@ -362,9 +387,9 @@ def repeated(docs: DataFrame, tau: int = TAU, least: int = MIN_CHARS, k: int = F
         kept = classes.select(_id_of(F.col("key")).alias("id"), "key").join(gone, "key", "left_anti")
         if kept.join(more, "id", "left_semi").isEmpty():
             break
-        k *= GROWTH
+        met, k = k, k * GROWTH
     repeats = classes.join(gone.withColumn("later", F.lit(True)), "key", "left").where("later OR n > 1").select("key", "first", "later")
-    drops = rows.join(repeats, "key").where(F.coalesce("later", F.lit(False)) | (_occurrence() != F.col("first")))
+    drops = rows.join(repeats, "key").where(F.coalesce("later", F.lit(False)) | (F.col("at") != F.col("first")))
     return drops.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("places"))
 
 
