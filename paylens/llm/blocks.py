@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from paylens.session import stage_table
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 5_000_000
 
 #: Everything but 0-9, a-z and bytes of non-ASCII characters becomes a space.
 _ALNUM = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
