@@ -365,18 +365,42 @@ def word_counts(docs: DataFrame, bpe: Bpe, block_chars: int = BLOCK_CHARS) -> Da
 
 
 def frequent_words(docs: DataFrame, bpe: Bpe, size: int = LEXICON, block_chars: int = BLOCK_CHARS) -> list[bytes]:
-    """The ``size`` most frequent words; ties go to the smaller one."""
+    """The ``size`` most frequent words; ties go to the smaller one.
+
+    Shards first tell how many of their words lie on each level of frequency (eight levels per doubling). Then only words
+    from the level on which the ``size``-th lies are sent, so what is sent follows ``size`` and not the number of shards.
+    """
+    table = stage_table(word_counts(docs, bpe, block_chars), "word_counts")
+
+    def levels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for counts in batch["counts"]:
+                level, n = np.unique(_level(unpack(counts, np.int64)), return_counts=True)
+                yield pd.DataFrame({"level": level, "n": n})
+
+    total, least = 0, 0
+    found = table.select("counts").mapInPandas(levels, "level int, n long").groupBy("level").agg(F.sum("n").alias("n"))
+    for row in found.orderBy(F.desc("level")).collect():  # at most 8 * 63 levels
+        least, total = row.level, total + row.n
+        if total >= size:
+            break
 
     def leading(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for words, counts in zip(batch["words"], batch["counts"]):
-                n = unpack(counts, np.int64)[:size]
-                yield pd.DataFrame({"word": unpack_bytes(words).split(b" ")[:len(n)], "n": n})
+                n = unpack(counts, np.int64)
+                n = n[_level(n) >= least][:size]  # they come most frequent first
+                if len(n):
+                    yield pd.DataFrame({"word": unpack_bytes(words).split(b" ")[:len(n)], "n": n})
 
-    top = word_counts(docs, bpe, block_chars).mapInPandas(leading, "word binary, n long")
+    top = table.mapInPandas(leading, "word binary, n long")
     return [bytes(r.word) for r in top.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
+def _level(counts: np.ndarray) -> np.ndarray:
+    return np.floor(8 * np.log2(np.maximum(counts, 1))).astype(np.int32)
+
+
 def lexicon_of(docs: DataFrame, bpe: Bpe, size: int = LEXICON, block_chars: int = BLOCK_CHARS) -> bytes:
     """The automaton of the most frequent words. Its size is bounded by ``size`` and the length of words."""
     return Lexicon.build({w: bpe.merge(w) for w in frequent_words(docs, bpe, size, block_chars)})
