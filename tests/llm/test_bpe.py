@@ -6,6 +6,7 @@ import pytest
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
+from llm_fixtures import docs_of, odd, texts  # noqa: F401
 
 from paylens.llm import bpe as M
 

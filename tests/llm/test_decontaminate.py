@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from llm_fixtures import docs_of, odd  # noqa: F401
 
 from paylens.llm import decontaminate as M
 from paylens.llm.blocks import alnum_words

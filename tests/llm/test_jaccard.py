@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_fixtures import docs_of, odd, texts  # noqa: F401
 
 from paylens.llm import jaccard as M
 from paylens.llm.components import connected_components

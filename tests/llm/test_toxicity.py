@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from llm_fixtures import docs_of, odd  # noqa: F401
 
 from paylens.llm import toxicity as M
 
