@@ -11,10 +11,6 @@ from paylens.llm import line_dedup as M
 
 
 def distance(a, b):
-    start = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-    a, b = a[start:], b[start:]
-    end = next((i for i, (x, y) in enumerate(zip(a[::-1], b[::-1])) if x != y), min(len(a), len(b)))
-    a, b = a[:len(a) - end], b[:len(b) - end]
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         new = [i]
@@ -31,6 +27,17 @@ def test_banded_distance(pairs, tau):
     assert M.within(a, b, tau).tolist() == [distance(x, y) <= tau for x, y in pairs]
 
 
+def near(a, b, tau):
+    """Are a and b within tau edits? Tries each edit where they first differ."""
+    if abs(len(a) - len(b)) > tau:
+        return False
+    start = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    a, b = a[start:], b[start:]
+    if not a or not b:
+        return len(a) + len(b) <= tau
+    return tau > 0 and (near(a[1:], b, tau - 1) or near(a, b[1:], tau - 1) or near(a[1:], b[1:], tau - 1))
+
+
 def edited(line, n, rng):
     line = list(line)
     for _ in range(n):
@@ -75,7 +82,7 @@ def brute(rows, tau, least):
     for x in first:
         by_length[len(x)].append(x)
     gone = {x for x in first for n in range(len(x) - tau, len(x) + tau + 1) for y in by_length[n]
-            if first[y] < first[x] and distance(x, y) <= tau}
+            if first[y] < first[x] and near(x, y, tau)}
     out = []
     for d, t in rows:
         lines = (t or "").split("\n")

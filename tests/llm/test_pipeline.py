@@ -5,6 +5,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as P
 from paylens.llm import queries, toxicity
+from paylens.llm.blocks import alnum_words
 
 
 def test_stages_and_queries():
@@ -14,7 +15,6 @@ def test_stages_and_queries():
 
 
 def test_pipeline_equals_stages_by_brute_force(spark, sf_dir):
-    from test_decontaminate import brute as decontaminated
     from test_jaccard import brute as components
     from test_line_dedup import brute as kept_lines
 
@@ -25,9 +25,17 @@ def test_pipeline_equals_stages_by_brute_force(spark, sf_dir):
     rows = [(d, t) for d, t, n, dropped in kept_lines(rows, 2, 24) if not 0 < dropped == n]
     first = {d for d, _, c in components(rows, 5, 80, 100) if d == c}
     rows = [(d, t) for d, t in rows if d in first]
-    hit = {d: len(h) for d, _, h, _, _ in decontaminated(rows, [tuple(r) for r in items.select("item_id", "text").collect()], 13, 0)}
-    from paylens.llm.blocks import alnum_words
-    rows = [(d, t) for d, t in rows if not (hit[d] and 20 * hit[d] >= len(alnum_words(t)))]
+    windows = {tuple(w[i:i + 13]) for r in items.collect() if (w := alnum_words(r.text)) for i in range(max(1, len(w) - 12))}
+
+    def contaminated(text):
+        words, hit = alnum_words(text), set()
+        for size in {len(w) for w in windows}:
+            for i in range(len(words) - size + 1):
+                if tuple(words[i:i + size]) in windows:
+                    hit |= set(range(i, i + size))
+        return hit and 20 * len(hit) >= len(words)
+
+    rows = [(d, t) for d, t in rows if not contaminated(t)]
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     library.no_truncation()
     want = {}
