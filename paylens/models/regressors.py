@@ -145,7 +145,7 @@ def linear_regression_onehot(
     stages, numbers = _one_hot_pipeline(features, cat_cols, target, id_col)
     rows = split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed)
     # iterative whatever the number of levels
-    line = LinearRegression(featuresCol="features", labelCol=target, solver="l-bfgs", tol=1e-12, maxIter=2000)
+    line = LinearRegression(featuresCol="features", labelCol=target, solver="l-bfgs", tol=1e-9, maxIter=300)
     return _fit([*stages, line], rows, None, target, id_col, fit_on)
 
 
