@@ -1,8 +1,8 @@
 """Line dedup by a segment-partition edit join.
 
-Lines of at least ``min_chars`` characters take part. A line is dropped if an earlier one (by doc_id, then
-by place in the text) is at most ``tau`` edits away: equal, or with up to tau characters inserted, deleted or
-replaced. Shorter lines stay as they are.
+All lines but blank ones take part. A line is dropped if an earlier one (by doc_id, then by place in the text) is
+equal, or at most as many edits away (characters inserted, deleted or replaced) as ``EDITS`` allows
+for the shorter of the two. With ``least``, only lines of so many characters take part, and all may differ by ``tau`` edits.
 
 1. Equal lines are one from here on, known by 128 bits of their hash; their earliest occurrence stays.
 2. A line of length l is split into tau + 1 segments. Two lines within tau edits share a segment: each line
@@ -35,7 +35,8 @@ from paylens.llm.blocks import BLOCK_CHARS, blocks, columns, cut, mix, pack, pac
 from paylens.session import stage_table
 
 TAU = 2
-MIN_CHARS = 24
+#: Edits by which lines of so many characters and more may differ.
+EDITS = ((1, 0), (24, 2))
 #: Partners that a line meets per group in the first round, and how they grow.
 FIRST_ROUND, GROWTH = 64, 16
 #: Bits of a key and of a line's id. Collisions only cost a verification.
@@ -80,6 +81,20 @@ def _segment(length: np.ndarray, i: int, tau: int) -> tuple[np.ndarray, np.ndarr
     return i * size + np.maximum(0, i - short), size + (i >= short)
 
 
+def allowances(tau: int = TAU, least: int | None = None) -> tuple[tuple[int, int], ...]:
+    """(characters, edits): lines from so many characters on may differ by so many edits."""
+    out = tuple((n, min(e, tau)) for n, e in EDITS) if least is None else ((least, tau),)
+    if any(e and 2 * e + 2 > n for n, e in out):
+        raise ValueError("lines must be longer than twice the threshold")
+    return out
+
+
+def _bands(edits: tuple[tuple[int, int], ...]) -> list[tuple[int, int, int]]:
+    """(edits, shortest, longest) of the lines that are joined together; a pair belongs to the band of its shorter line."""
+    ends = [n - 1 + e for (n, _), (_, e) in zip(edits[1:], edits)] + [1 << 31]
+    return [(e, n, end) for (n, e), end in zip(edits, ends) if e]
+
+
 def segment_keys(r: Rolling, tau: int, shortest: int) -> tuple[np.ndarray, ...]:
     """Keys of the lines' segments, and of all substrings to probe: (key, row) for both.
 
@@ -133,24 +148,29 @@ def _portions(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
             start, size = i + 1, 0
 
 
-def candidates(docs: DataFrame, tau: int, least: int, met: int, k: int, first: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def candidates(docs: DataFrame, edits: tuple[tuple[int, int], ...], met: int, k: int, first: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Pairs (a, b) of line ids that share a segment and have similar sketches; (a, a) if a has partners beyond the first k.
 
     Partners up to the ``met``-th of either line were listed before and are left out; ``first`` is the k of the first round.
     """
     count = shards(docs.sparkSession)
+    bands = _bands(edits)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in blocks(batches, "text", block_chars):
-            lines = _lines(block, least)
+            lines = _lines(block, bands[0][1])
             ids = np.fromiter(map(line_id, lines), np.uint64, len(lines))
             out: dict[str, list] = {"shard": list(range(count))}
-            parts = []
-            for start, some in _portions(lines):
-                r = Rolling(some)
-                index_key, index_row, probe_key, probe_row = segment_keys(r, tau, least)
-                parts.append((sketches(r), index_key, index_row + start, probe_key, probe_row + start))
-            marks, *sides = map(np.concatenate, zip(*parts)) if parts else [np.zeros(0, np.uint64)] * 5
+            parts, marks = [], np.zeros(len(lines), np.uint64)
+            for tau, shortest, longest in bands:
+                own = [i for i, x in enumerate(lines) if shortest <= len(x) <= longest]
+                for start, some in _portions([lines[i] for i in own]):
+                    rows = np.array(own[start:start + len(some)])
+                    r = Rolling(some)
+                    index_key, index_row, probe_key, probe_row = segment_keys(r, tau, shortest)
+                    marks[rows] = sketches(r)
+                    parts.append((index_key, rows[index_row], probe_key, rows[probe_row]))
+            sides = list(map(np.concatenate, zip(*parts))) if parts else [np.zeros(0, np.uint64)] * 4
             for side, key, row in (("i", *sides[:2]), ("p", *sides[2:])):
                 key, row = key >> np.uint64(64 - KEY_BITS), row.astype(np.int64)
                 order = np.argsort(key)
@@ -163,7 +183,7 @@ def candidates(docs: DataFrame, tau: int, least: int, met: int, k: int, first: i
             yield pd.DataFrame(out)
 
     def match(key, frame: pd.DataFrame) -> pd.DataFrame:
-        a, b = _meet(*_side(frame, "i"), *_side(frame, "p"), 4 * tau, met, k, first)
+        a, b = _meet(*_side(frame, "i"), *_side(frame, "p"), 4 * bands[-1][0], met, k, first)
         return pd.DataFrame({"a": a.astype(np.int64), "b": b.astype(np.int64)}).drop_duplicates()
 
     fields = ", ".join(f"{s}_{f} binary" for s in "ip" for f in ("keys", "ids", "marks"))
@@ -313,7 +333,7 @@ def _bitmap(ids: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def line_rows(docs: DataFrame, least: int) -> DataFrame:
+def line_rows(docs: DataFrame, least: int | None) -> DataFrame:
     """(key, doc_id, text_key, place, at) of every line that takes part; ``place`` counts from 0, ``at`` orders all lines.
 
     ``at`` is one number of the doc_id (null is the largest), 24 bits of the hash of the text, and the place:
@@ -324,10 +344,14 @@ def line_rows(docs: DataFrame, least: int) -> DataFrame:
     doc = F.coalesce(whole(F.col("doc_id"), 19), F.lit(str(2**63)).cast("decimal(19,0)"))
     text = whole(F.pmod("text_key", F.lit(1 << 24)), 8)
     at = (doc * F.lit(1 << 24).cast("decimal(8,0)") + text) * F.lit(1 << 31).cast("decimal(10,0)") + whole(F.col("place"), 10)
-    return lines.where(F.length("line") >= least).select(
+    return lines.where(takes_part(F.col("line"), least)).select(
         F.unhex(F.md5("line")).alias("key"), "doc_id", "text_key", "place", at.cast("decimal(38,0)").alias("at"))
 
 
+def takes_part(line: Column, least: int | None) -> Column:
+    return line.rlike(r"\S") if least is None else F.length(line) >= least
+
+
 def _id_of(key: Column) -> Column:
     """The id of a line from its key, as ``line_id`` has it."""
     return F.conv(F.hex(F.substring(key, 1, ID_BITS // 8)), 16, 10).cast("long")
@@ -351,37 +375,42 @@ def texts_of_ids(docs: DataFrame, ids: DataFrame, least: int, block_chars: int =
     return lines.join(ids, "id", "left_semi").distinct().select(F.unhex(F.md5("line")).alias("key"), "id", "line")
 
 
-def verified(pairs: DataFrame, lines: DataFrame, tau: int) -> DataFrame:
-    """Keys (x, y) of different lines that belong to pairs of ids (a, b) and are within ``tau`` edits."""
+def verified(pairs: DataFrame, lines: DataFrame, edits: tuple[tuple[int, int], ...]) -> DataFrame:
+    """Keys (x, y) of different lines that belong to pairs of ids (a, b) and are within the edits of the shorter one."""
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.loc[within(list(batch["s"]), list(batch["t"]), tau), ["x", "y"]]
+            size = np.minimum(batch["s"].str.len(), batch["t"].str.len()).to_numpy()
+            ok = np.zeros(len(batch), bool)
+            for tau, shortest, _ in _bands(edits):
+                mine = np.flatnonzero((size >= shortest) & ~ok)
+                ok[mine] = within(list(batch["s"].iloc[mine]), list(batch["t"].iloc[mine]), tau)
+            yield batch.loc[ok, ["x", "y"]]
 
     of = lambda id_, key, line: lines.select(F.col("id").alias(id_), F.col("key").alias(key), F.col("line").alias(line))
     both = pairs.join(of("a", "x", "s"), "a").join(of("b", "y", "t"), "b").where("x != y")
     return both.select("x", "y", "s", "t").mapInPandas(verify, "x binary, y binary")
 
 
-def repeated(docs: DataFrame, tau: int = TAU, least: int = MIN_CHARS, k: int = FIRST_ROUND, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def repeated(docs: DataFrame, tau: int = TAU, least: int | None = None, k: int = FIRST_ROUND, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, text_key, places): the places of the lines to drop from each document that has any."""
-    if not 2 * tau + 2 <= least:
-        raise ValueError("lines must be longer than twice the threshold")
+    edits = allowances(tau, least)
+    shortest = next((n for n, e in edits if e), None)
     docs = columns(docs, "doc_id", "text")
     rows = stage_table(line_rows(docs, least), "lines")
     classes = stage_table(rows.groupBy("key").agg(F.min("at").alias("first"), F.count("*").alias("n")), "line_classes")
-    tried, gone, met, first = None, None, 0, k
-    while True:
-        pairs = stage_table(candidates(docs, tau, least, met, k, first, block_chars), "line_pairs")
+    tried, gone, met, first = None, classes.select("key").limit(0), 0, k
+    while shortest is not None:
+        pairs = stage_table(candidates(docs, edits, met, k, first, block_chars), "line_pairs")
         new = pairs.where("a != b")
         if tried is not None:
             new = new.join(tried, ["a", "b"], "left_anti")
         ids = new.select(F.col("a").alias("id")).unionAll(new.select(F.col("b").alias("id"))).distinct()
-        near = verified(new, texts_of_ids(docs, ids, least, block_chars), tau)
+        near = verified(new, texts_of_ids(docs, ids, shortest, block_chars), edits)
         of = lambda key, first: classes.select(F.col("key").alias(key), F.col("first").alias(first))
         later = near.join(of("x", "fx"), "x").join(of("y", "fy"), "y").select(
             F.when(F.col("fx") < F.col("fy"), F.col("y")).otherwise(F.col("x")).alias("key"))
-        later = stage_table((later if gone is None else later.unionAll(gone)).distinct(), "later_lines")
+        later = stage_table((later if tried is None else later.unionAll(gone)).distinct(), "later_lines")
         tried, gone = (new if tried is None else tried.unionAll(new)), later
         more = pairs.where("a = b").select(F.col("a").alias("id"))
         kept = classes.select(_id_of(F.col("key")).alias("id"), "key").join(gone, "key", "left_anti")
@@ -394,7 +423,9 @@ def repeated(docs: DataFrame, tau: int = TAU, least: int = MIN_CHARS, k: int = F
 
 
 def kept_lines(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, text, rest, kept, n_lines, n_dropped): ``kept`` is the text without repeated lines, ``rest`` has the other columns."""
+    """(doc_id, text, rest, kept, n_lines, n_dropped, emptied): ``kept`` is the text without repeated lines, ``rest`` has the other
+    columns. A text is ``emptied`` if it lost lines and none that takes part is left.
+    """
     rest = F.struct(*[docs[c] for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0).alias("none")])
     own = docs.select(docs["doc_id"], docs["text"], rest.alias("rest"))
     drops = repeated(docs, **options).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "places")
@@ -404,16 +435,18 @@ def kept_lines(docs: DataFrame, **options) -> DataFrame:
     text = F.when(F.col("places").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.col("lines")[i]), "\n"))
     n = F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.size("lines")).cast("long")
     dropped = F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long")
+    left_over = F.exists(F.split("kept", "\n", -1), lambda x: takes_part(x, options.get("least")))
     return both.withColumn("lines", lines).select(
-        "doc_id", "text", "rest", text.alias("kept"), n.alias("n_lines"), dropped.alias("n_dropped"))
+        "doc_id", "text", "rest", text.alias("kept"), n.alias("n_lines"), dropped.alias("n_dropped")).withColumn(
+        "emptied", (F.col("n_dropped") > 0) & ~left_over)
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text`` and ``n_chars``, if there is one, brought up to date.
 
-    A document that loses every line said nothing of its own and goes; one that never had text stays.
+    A document that loses every line that takes part said nothing of its own and goes; one that lost none stays.
     """
-    done = kept_lines(docs, **options).where("NOT (n_dropped > 0 AND n_dropped = n_lines)")
+    done = kept_lines(docs, **options).where("NOT emptied")
     of = {c: F.col("rest")[c] for c in docs.columns} | {"doc_id": F.col("doc_id"), "text": F.col("kept")}
     if "n_chars" in docs.columns:
         of["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("kept").cast("long")).otherwise(F.col("rest")["n_chars"])

@@ -124,3 +124,9 @@ def test_dedup_keeps_columns_and_drops_emptied_documents(docs_of, spark):
     out = {r.doc_id: (r.text, r.n_chars, r.key, r.kept) for r in M.dedup(docs).collect()}
     assert out == {1: (line, 7, "x", "z"), 3: ("short", 5, "x", "z"), 4: (None, 7, "x", "z"), 5: ("", 7, "x", "z")}
     assert M.dedup(docs).columns == docs.columns
+
+
+def test_exact_copies_with_short_and_blank_lines_go(docs_of):
+    text = "a line that is long enough to count\nEauouon.\n\n \nAll rights reserved."
+    docs = docs_of([(1, text), (2, text), (3, f"{text}\n"), (4, f"Of its own.\n{text}"), (5, "\n\n")])
+    assert {r.doc_id: r.text for r in M.dedup(docs).collect()} == {1: text, 4: "Of its own.\n\n ", 5: "\n\n"}

@@ -1,6 +1,7 @@
 import hashlib
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -50,3 +51,18 @@ def test_stages_return_the_columns_of_documents(spark, sf_dir):
     for _, stage in P.STAGES[:-1]:
         out = stage(spark, docs, sf_dir)
         assert out.schema == docs.schema and out.count() == 0
+
+
+def test_exact_copies_are_absent(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [f"Of document {i}, a line that is long enough to count.\nEnd {i}.\n\n{'word ' * i}" for i in range(4)]
+    planted = spark.createDataFrame([(10**9 + 10 * k + i, t) for i, t in enumerate(texts) for k in range(3)], "doc_id long, text string")
+    rest = [F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns if c not in planted.columns]
+    docs.unionByName(planted.select("*", *rest)).write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    out = {r.doc_id for r in P.run(spark, str(tmp_path)).collect()}
+    assert {d for d in out if d >= 10**9} <= {10**9 + i for i in range(4)} and 10**9 in out
+    first = {}
+    for r in docs.orderBy("doc_id").collect():
+        assert first.setdefault(r.text, r.doc_id) == r.doc_id or r.doc_id not in out
