@@ -35,8 +35,8 @@ from paylens.llm.blocks import BLOCK_CHARS, blocks, columns, cut, mix, pack, pac
 from paylens.session import stage_table
 
 TAU = 2
-#: Edits by which lines of so many characters and more may differ.
-EDITS = ((1, 0), (24, 2))
+#: (characters, edits): lines of so many characters and more may differ by one edit in twelve characters, up to ``TAU``.
+EDITS = ((1, 0), (12, 1), (24, 2))
 #: Partners that a line meets per group in the first round, and how they grow.
 FIRST_ROUND, GROWTH = 64, 16
 #: Bits of a key and of a line's id. Collisions only cost a verification.

@@ -130,3 +130,19 @@ def test_exact_copies_with_short_and_blank_lines_go(docs_of):
     text = "a line that is long enough to count\nEauouon.\n\n \nAll rights reserved."
     docs = docs_of([(1, text), (2, text), (3, f"{text}\n"), (4, f"Of its own.\n{text}"), (5, "\n\n")])
     assert {r.doc_id: r.text for r in M.dedup(docs).collect()} == {1: text, 4: "Of its own.\n\n ", 5: "\n\n"}
+
+
+def test_shorter_lines_may_differ_by_fewer_edits(docs_of):
+    rng = random.Random(4)
+    lines = ["".join(rng.choice("abcd ") for _ in range(n)) for n in (5, 8, 11, 12, 13, 17, 22, 23, 24, 25, 26, 30) for _ in range(3)]
+    rows = [(i, "\n".join(edited(rng.choice(lines), rng.choice([0, 0, 1, 1, 2, 3]), rng) or "x" for _ in range(5))) for i in range(60)]
+    order = {}
+    for i, t in rows:
+        for p, x in enumerate(t.split("\n")):
+            order.setdefault(x, (i, p))
+    blank = lambda x: not x.strip()
+    gone = {x for x in order for y in order if order[y] < order[x] and near(x, y, min(2, len(x) // 12, len(y) // 12))}
+    want = {i: "\n".join(x for p, x in enumerate(t.split("\n")) if blank(x) or (x not in gone and order[x] == (i, p))) for i, t in rows}
+    for k in (1, 64):
+        assert {r.doc_id: r.kept for r in M.kept_lines(docs_of(rows), k=k, block_chars=300).collect()} == want
+    assert any(12 <= len(x) < 24 for x in gone) and any(len(x) >= 24 for x in gone)
