@@ -53,7 +53,29 @@ LAYOUTS = (
 
 
 def field_paths(body: Column) -> Column:
-    """Sorted paths of a JSON record's fields; members of lists of objects are ``list[].member``."""
+    """Sorted paths of a JSON record's fields; members of lists of objects are ``list[].member``.
+
+    A variant keeps apart a nested value and a string that looks like one. Records that a variant cannot hold (one too large,
+    or with a repeated field) are read as strings, where the first character decides.
+    """
+    return F.coalesce(_typed_paths(F.try_parse_json(body)), _guessed_paths(body))
+
+
+def _typed_paths(record: Column) -> Column:
+    fields = lambda v: F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+    names = lambda v: F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+    kind = lambda v, name: F.schema_of_variant(v).startswith(name)
+    members = lambda v: F.try_variant_get(v, "$", "array<variant>")
+    inner = lambda v: F.flatten(F.transform(members(v), lambda m: F.when(kind(m, "OBJECT"), names(m)).otherwise(F.array(F.lit("")))))
+    paths = F.transform(fields(record), lambda e: F.when(
+        kind(e["value"], "ARRAY") & kind(F.get(members(e["value"]), F.lit(0)), "OBJECT"),
+        F.transform(inner(e["value"]), lambda k: F.concat(e["key"], F.lit("[]."), k)))
+        .when(kind(e["value"], "OBJECT"), F.transform(names(e["value"]), lambda k: F.concat(e["key"], F.lit("."), k)))
+        .otherwise(F.array(e["key"])))
+    return F.array_sort(F.array_distinct(F.flatten(paths)))
+
+
+def _guessed_paths(body: Column) -> Column:
     top = F.map_entries(F.from_json(body, "map<string,string>", _JSON))
     inner = lambda e: F.flatten(F.transform(
         F.from_json(e["value"], "array<map<string,string>>", _JSON), lambda m: F.map_keys(m)))

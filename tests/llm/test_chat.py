@@ -90,3 +90,19 @@ def test_no_python_in_the_plan(spark, sf_dir):
 
     plan = op8_chat_format(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+LIKE_JSON = ['{"a":1}', "{}", '[{"a":1}]', "[{", "[{ no json", "[]", "null", "3", '"quoted"', "{'a': 1}", '{"messages":[{"role":"x"}]}']
+
+
+def test_texts_that_look_like_json_are_read_back(spark):
+    conversations = [list(zip(roles, (a, b, a))) for roles in (["user", "assistant"], ["system", "user", "assistant"], ["user"])
+                     for a in LIKE_JSON for b in LIKE_JSON]
+    rows = [(i, k, r, t, "clash") for i, c in enumerate(conversations) for k, (r, t) in enumerate(c)]
+    out = M.read_back(M.formatted(M.canonical(M.records(spark.createDataFrame(rows, ROWS))))).collect()
+    assert {r.conv_id: r.read_turns and [tuple(t) for t in r.read_turns] for r in out} == dict(enumerate(conversations))
+
+
+def test_nested_values_are_still_no_texts(spark):
+    assert turns(spark, [{"prompt": {}, "completion": "a"}, {"prompt": [{"a": 1}], "completion": "a"}, {"messages": [{"role": "u", "content": "x"}, 3]},
+                         {"prompt": [{"a": 1}, "b"], "completion": "a"}]) == [(None, None)] * 4
