@@ -23,12 +23,12 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: one document stays of each group linked by a similarity of 0.8 of five-word shingles."""
-    return jaccard.one_of_each(docs, n=5, num=80, den=100)
+    return jaccard.one_of_each(docs, n=5, num=80, den=100, null_ids=True)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents of which a twentieth repeats benchmark windows go."""
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), null_ids=True)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

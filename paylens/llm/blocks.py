@@ -168,9 +168,29 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, text_key): the id, which may be null or shared, and the hash of the text name a row."""
+    return columns(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
+
+
+def without(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``names`` (doc_id, text_key) has; a null id equals a null id."""
+    return docs.join(*_named(docs, names), "left_anti")
+
+
+def only(docs: DataFrame, names: DataFrame) -> DataFrame:
+    return docs.join(*_named(docs, names), "left_semi")
+
+
+def _named(docs: DataFrame, names: DataFrame):
+    of = names.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct()
+    return of, docs["doc_id"].eqNullSafe(of["_doc"]) & (F.xxhash64(docs["text"]) == of["_key"])
+
+
 TOKEN_BLOCK = T.StructType([
     T.StructField("block", T.StringType()),
     T.StructField("doc_ids", T.BinaryType()),
+    T.StructField("text_keys", T.BinaryType()),
     T.StructField("sizes", T.BinaryType()),
     T.StructField("tokens", T.BinaryType()),
     T.StructField("words", T.BinaryType()),
@@ -180,7 +200,7 @@ TOKEN_BLOCK = T.StructType([
 def token_blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Blocks of (doc_id, text) rows as numbered words, written to the shared folder and read back.
 
-    A block has its documents' ids and word counts, the words' numbers in the
+    A block has its documents' ids, hashes of texts and word counts, the words' numbers in the
     block, and the distinct words. Words are those of ``space_words``.
     """
 
@@ -190,11 +210,12 @@ def token_blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
             tokens, ends, words = number_words([space_words(t) for t in texts_of(block, "text")])
             yield pd.DataFrame({
                 "block": [f"{part}-{n}"], "doc_ids": [pack_ids(ids_of(block, "doc_id"))],
+                "text_keys": [pack(block["text_key"], np.int64)],
                 "sizes": [pack(np.diff(ends, prepend=0), np.uint32)], "tokens": [pack(tokens, np.uint32)],
                 "words": [pack_bytes(b" ".join(words))],
             })
 
-    return stage_table(columns(docs, "doc_id", "text").mapInPandas(number, TOKEN_BLOCK), "token_blocks")
+    return stage_table(keyed(docs).mapInPandas(number, TOKEN_BLOCK), "token_blocks")
 
 
 class TokenBlock:
@@ -203,6 +224,7 @@ class TokenBlock:
     def __init__(self, row):
         self.block = row.block
         self.doc_ids = unpack_ids(row.doc_ids)
+        self.text_keys = unpack(row.text_keys, np.int64).tolist()
         self.sizes = unpack(row.sizes, np.uint32).astype(np.int64)
         self.tokens = unpack(row.tokens, np.uint32)
         self.words = unpack_bytes(row.words).split()

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylens.llm.blocks import (
-    BLOCK_CHARS, alnum_words, blocks, columns, ids_of, number_words, pack, pack_bytes, pack_ids, texts_of, unpack,
-    unpack_bytes, unpack_ids,
+    BLOCK_CHARS, alnum_words, blocks, columns, ids_of, keyed, number_words, pack, pack_bytes, pack_ids, texts_of, unpack,
+    unpack_bytes, unpack_ids, without,
 )
 from paylens.session import stage_table
 
@@ -36,6 +36,7 @@ BATCH_CHARS = 4_000_000
 SEGMENT = T.StructType([
     T.StructField("segment", T.StringType()),
     T.StructField("doc_ids", T.BinaryType()),
+    T.StructField("text_keys", T.BinaryType()),
     T.StructField("lengths", T.BinaryType()),
     T.StructField("terms", T.BinaryType()),
     T.StructField("sizes", T.BinaryType()),
@@ -45,6 +46,7 @@ MATCH = T.StructType([
     T.StructField("segment", T.StringType()),
     T.StructField("place", T.IntegerType()),
     T.StructField("doc_id", T.LongType()),
+    T.StructField("text_key", T.LongType()),
     T.StructField("n_words", T.LongType()),
     T.StructField("hits", T.ArrayType(T.IntegerType())),
     T.StructField("items", T.ArrayType(T.LongType())),
@@ -71,10 +73,11 @@ def build_index(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
             steps[firsts] = positions[firsts]
             yield pd.DataFrame({
                 "segment": [f"{part}-{n}"], "doc_ids": [pack_ids(ids_of(block, "doc_id"))], "lengths": [pack(lengths, np.uint32)],
+                "text_keys": [pack(block["text_key"], np.int64)],
                 "terms": [pack_bytes(b" ".join(words))], "sizes": [pack(sizes, np.uint32)], "steps": [pack(steps, np.uint64)],
             })
 
-    return stage_table(columns(docs, "doc_id", "text").mapInPandas(build, SEGMENT), "positional_index")
+    return stage_table(keyed(docs).mapInPandas(build, SEGMENT), "positional_index")
 
 
 class Segment:
@@ -157,7 +160,7 @@ def matches(index: DataFrame, items: DataFrame, window: int = 13, slop: int = 7,
         part = index.mapInPandas(_visit(windows([(r.item_id, r.text) for r in mine], window), slop), MATCH)
         found = part if found is None else found.unionAll(part)
     gathered = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    return found.groupBy("segment", "place", "doc_id", "n_words").agg(
+    return found.groupBy("segment", "place", "doc_id", "text_key", "n_words").agg(
         *[gathered(c).alias(c) for c in ("hits", "items", "near_items")]).drop("segment", "place")
 
 
@@ -197,7 +200,8 @@ def _of_segment(row, wanted, slop: int) -> pd.DataFrame:
     n = len(lengths)
     listed = lambda found: [sorted(found.get(d, ())) for d in range(n)]
     return pd.DataFrame({
-        "segment": [row.segment] * n, "place": range(n), "doc_id": pd.array(unpack_ids(row.doc_ids), "Int64"), "n_words": lengths,
+        "segment": [row.segment] * n, "place": range(n), "doc_id": pd.array(unpack_ids(row.doc_ids), "Int64"),
+        "text_key": unpack(row.text_keys, np.int64), "n_words": lengths,
         "hits": listed(hits), "items": listed(exact), "near_items": listed(close),
     })
 
@@ -233,7 +237,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, slop: int
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * percent))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without contaminated documents; rows without a doc_id stay."""
-    bad = contamination(docs, items, **options).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, null_ids: bool = False, **options) -> DataFrame:
+    """``docs`` without contaminated documents; a doc_id and a text name a document.
+
+    Rows without a doc_id stay, unless ``null_ids``: then they are judged like all others.
+    """
+    bad = contamination(docs, items, **options).where("contaminated")
+    return without(docs, bad if null_ids else bad.where("doc_id IS NOT NULL"))

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylens.llm.blocks import (
-    BLOCK_CHARS, TokenBlock, cut, mix, pack, pack_sorted, shards, token_blocks, unpack, unpack_sorted, with_answers,
-    word_hashes,
+    BLOCK_CHARS, TokenBlock, cut, mix, pack, pack_sorted, shards, only, token_blocks, unpack, unpack_sorted,
+    with_answers, without, word_hashes,
 )
 from paylens.llm.components import connected_components
 from paylens.session import stage_table
@@ -49,6 +49,7 @@ MESSAGE = "shard int, block string, payload binary, counts binary"
 ANSWER = "shard int, block string, payload binary"
 SETS = T.StructType([
     T.StructField("doc_id", T.LongType()),
+    T.StructField("text_key", T.LongType()),
     T.StructField("n", T.LongType()),
     T.StructField("key", T.BinaryType()),
     T.StructField("own", T.IntegerType()),
@@ -125,24 +126,24 @@ def set_rows(docs: DataFrame, n: int, num: int, den: int, block_chars: int = BLO
                 sets = ngram_sets(block, n)
                 buckets, _ = _buckets(sets)
                 levels = np.concatenate([unpack(p, np.uint8) for p in row.answers])
-                yield pd.DataFrame([_set_row(d, s, buckets, levels, num, den) for d, s in zip(block.doc_ids, sets)],
+                yield pd.DataFrame([(d, t, *_set_row(s, buckets, levels, num, den)) for d, t, s in zip(block.doc_ids, block.text_keys, sets)],
                                    columns=SETS.names).astype({"doc_id": "Int64"})
 
     return stage_table(with_answers(table, answers).mapInPandas(order, SETS), "sets")
 
 
-def _set_row(doc, items: np.ndarray, buckets: np.ndarray, levels: np.ndarray, num: int, den: int) -> tuple:
+def _set_row(items: np.ndarray, buckets: np.ndarray, levels: np.ndarray, num: int, den: int) -> tuple:
     size = len(items)
     if not size:
-        return doc, 0, None, 0, [], [], None, None
+        return 0, None, 0, [], [], None, None
     level = levels[np.searchsorted(buckets, items >> np.uint64(64 - BUCKET_BITS))]
     ranked = np.lexsort((items, level))[:size - (num * size + den - 1) // den + 1]
     shared = np.flatnonzero(level[ranked])
     key = xxhash.xxh3_128_digest(items.tobytes())
     if not len(shared):
-        return doc, size, key, size, [], [], None, None
+        return size, key, size, [], [], None, None
     prefix = items[ranked[shared]].view(np.int64).tolist()
-    return (doc, size, key, int(np.count_nonzero(level == 0)), prefix, shared.tolist(), sketch(items).tobytes(), items.tobytes())
+    return (size, key, int(np.count_nonzero(level == 0)), prefix, shared.tolist(), sketch(items).tobytes(), items.tobytes())
 
 
 def sketch(items: np.ndarray) -> np.ndarray:
@@ -287,13 +288,18 @@ def links(sets: DataFrame, num: int, den: int, k: int = 1, growth: int = 8) -> D
         k *= growth
 
 
+def _roots(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(key, root) of the sets that are linked with another."""
+    return connected_components(links(sets, num, den)).withColumnRenamed("node", "key")
+
+
 def components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per document: the size of its set of word n-grams and the smallest doc_id reachable by links.
 
     Two documents link when ``den * intersection >= num * union``.
     """
     sets = set_rows(docs, n, num, den, block_chars)
-    roots = connected_components(links(sets, num, den)).withColumnRenamed("node", "key")
+    roots = _roots(sets, num, den)
     named = sets.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = named.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -302,13 +308,22 @@ def components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, block
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with only the smallest doc_id of each component; rows without a doc_id stay.
+def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, null_ids: bool = False) -> DataFrame:
+    """``docs`` with only one document of each component: that of the smallest doc_id, null last, and smallest hash of its text.
 
-    A doc_id names a document: rows that repeat one stay or go together.
+    A doc_id and a text name a document: texts that share a doc_id are judged each by itself, and of rows that repeat both one stays.
+    Rows without a doc_id stay, unless ``null_ids``: then they are judged like all others.
     """
-    found = components(docs, n, num, den)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
-    gone = gone.join(found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(),
-                     F.col("_gone") == F.col("_kept"), "left_anti").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    sets = set_rows(docs, n, num, den)
+    named = sets if null_ids else sets.where("doc_id IS NOT NULL")
+    rooted = named.where("key IS NOT NULL").join(_roots(sets, num, den), "key", "left").select(
+        F.coalesce("root", "key").alias("root"), "doc_id", "text_key",
+        F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key").alias("rank"))
+    best = rooted.groupBy("root").agg(F.min("rank").alias("best"))
+    kept = without(docs, rooted.join(best, "root").where(~F.col("rank").eqNullSafe(F.col("best"))))
+    repeated = stage_table(named.groupBy("doc_id", "text_key").count().where("count > 1"), "repeated_rows")
+    if repeated.isEmpty():
+        return kept
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    one = only(kept, repeated).groupBy("doc_id", "text").agg(F.min_by(row, F.to_json(row)).alias("row"))
+    return without(kept, repeated).unionAll(one.select(*[F.col("row")[c].alias(c) for c in docs.columns]))

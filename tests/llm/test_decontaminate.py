@@ -84,3 +84,12 @@ def test_registered_digest(spark, sf_dir):
 
     rows = op4_decontaminate(spark, sf_dir).collect()
     assert hashlib.sha256(b"").hexdigest() in {r.items_sha256 for r in rows} and any(r.contaminated for r in rows)
+
+
+def test_rows_are_dropped_by_id_and_text(spark, docs_of):
+    item = " ".join(f"w{i}" for i in range(13))
+    items = spark.createDataFrame([(1, item)], ITEMS)
+    rows = [(1, item), (1, "clean"), (None, item), (None, "clean too"), (None, None)]
+    left = lambda **options: {(r.doc_id, r.text) for r in M.drop_contaminated(docs_of(rows), items, **options).collect()}
+    assert left(null_ids=True) == {(1, "clean"), (None, "clean too"), (None, None)}
+    assert left() == {(1, "clean"), (None, "clean too"), (None, None), (None, item)}

@@ -109,3 +109,14 @@ def test_connected_components(spark, edges):
                 root[a] = root[b] = min(root[a], root[b])
     out = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.root for r in out} == root and len(out) == len(root)
+
+
+def test_rows_are_judged_whatever_their_ids(docs_of):
+    copy = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(5, copy), (3, copy), (3, copy), (3, other), (9, other), (None, copy), (None, "alone"), (None, "alone"), (None, None), (7, copy), (7, "own")]
+    out = M.one_of_each(docs_of(rows), null_ids=True)
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(3, copy), (3, other), (None, "alone"), (None, None), (7, "own")], key=str)
+    assert out.columns == docs_of(rows).columns
+    assert sorted((r.doc_id for r in M.one_of_each(docs_of(rows)).collect()), key=str) == sorted([3, 3, 7, *[None] * 4], key=str)
