@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, chat, decontaminate, fixity, html_text, jaccard, line_dedup, ngram_lm, topk, toxicity
+from paylens.llm import bpe, chat, decontaminate, fixity, html_text, jaccard, line_dedup, ngram_lm, sketch, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) ->
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.Bpe.load(tokenizer))
+
+
+@query
+def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.digests(table(spark, sf_dir, "documents"))
