@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, chat, decontaminate, fixity, html_text, jaccard, line_dedup, ngram_lm, sketch, topk, toxicity
+from paylens.llm import bpe, chat, decontaminate, fixity, hard_negatives, html_text, jaccard, line_dedup, ngram_lm, sketch, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,3 +101,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) ->
 @query
 def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
