@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, chat, decontaminate, fixity, hard_negatives, html_text, jaccard, line_dedup, ngram_lm, sketch, topk, toxicity
+from paylens.llm import (
+    bpe, chat, decontaminate, fixity, hard_negatives, html_text, jaccard, line_dedup, ngram_lm, sketch, topk, toxicity, whiten,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,6 +105,12 @@ def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation that does not fit into a long is null."""
+    return whiten.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
