@@ -1,23 +1,25 @@
-"""Linear and forest regressors as MLlib pipelines."""
+"""Linear regressors as MLlib pipelines, and forests."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.functions.columns import require
+from paylens.models import forest
 from paylens.models.evaluation import regression_metrics
 from paylens.operators.features import numeric_feature_columns, one_hot_stages
 from paylens.operators.splits import split_64_16_20, split_70_15_15
 from paylens.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from paylens.session import ensure_checkpoint_dir
+from paylens.session import stage_table
 
 
 @dataclass
@@ -32,19 +34,31 @@ class Fitted:
         return regression_metrics(self.predictions)
 
     def weights(self, top_n: int | None = None) -> DataFrame:
-        """Named coefficients or importances, largest magnitude first; a forest has no intercept."""
+        """Named coefficients and the intercept, largest magnitude first."""
         last = self.model.stages[-1]
-        linear = hasattr(last, "coefficients")
-        values = last.coefficients if linear else last.featureImportances
-        rows = [(n, float(v)) for n, v in zip(self.feature_names, values.toArray())]
-        if linear:
-            rows.append(("intercept", float(last.intercept)))
+        rows = [(n, float(v)) for n, v in zip(self.feature_names, last.coefficients.toArray())] + [("intercept", float(last.intercept))]
         spark = self.predictions.sparkSession
         table = spark.createDataFrame(rows, "feature string, weight double")
         ordered = table.orderBy(F.desc(F.abs("weight")), "feature")
         return ordered.limit(top_n) if top_n else ordered
 
 
+@dataclass
+class FittedForest:
+    """A fitted forest with its predictions outside the training rows."""
+
+    model: forest.Forest
+    predictions: DataFrame
+
+    def metrics(self) -> DataFrame:
+        return regression_metrics(self.predictions)
+
+    def weights(self, top_n: int | None = None) -> DataFrame:
+        """Importance of every column, largest first."""
+        ordered = self.model.importances().orderBy(F.desc("weight"), "feature")
+        return ordered.limit(top_n) if top_n else ordered
+
+
 def predict(model: PipelineModel, df: DataFrame, target: str = "salary_k", id_col: str = "job_id") -> DataFrame:
     """Prediction table: id, truth, prediction and split."""
     scored = model.transform(df)
@@ -74,25 +88,6 @@ def _rows(features: DataFrame, target: str, id_col: str, inputs: Sequence[str])
     return features.select(id_col, target, *inputs).dropna()
 
 
-def _placed(rows: DataFrame, id_col: str, partitions: int) -> DataFrame:
-    """Rows placed by a hash of the id and sorted by it, in a number of partitions that is a parameter.
-
-    A forest draws its bags partition by partition, so neither the layout of
-    the input nor the number of cores decides which trees grow. The passes
-    checkpoint on the way; a folder for that is made sure of.
-    """
-    ensure_checkpoint_dir(rows.sparkSession)
-    return rows.repartition(partitions, id_col).sortWithinPartitions(id_col)
-
-
-def _forest(target: str, num_trees: int, max_depth: int, seed: int) -> RandomForestRegressor:
-    """Rows remember their node in every tree; walking all trees for each level takes far longer."""
-    return RandomForestRegressor(
-        featuresCol="features", labelCol=target, numTrees=num_trees, maxDepth=max_depth, seed=seed,
-        maxMemoryInMB=1024, cacheNodeIds=True,
-    )
-
-
 def linear_regression(
     features: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES, target: str = "salary_k",
     id_col: str = "job_id", seed: int = 42, fit_on: str = "train",
@@ -106,16 +101,21 @@ def linear_regression(
     ], rows, list(columns), target, id_col, fit_on)
 
 
+def _fit_forest(split_rows: DataFrame, numeric: Sequence[str], text: Sequence[str], target: str, id_col: str, **settings) -> FittedForest:
+    grown = forest.fit(split_rows.where(F.col("split") == "train"), numeric, text, target, id_col, **settings)
+    held_out = split_rows.where(F.col("split") != "train").withColumn("y_true", F.col(target).cast("double"))
+    predictions = stage_table(grown.predict(held_out, [id_col, "y_true", "split"]), "predictions")
+    return FittedForest(grown, predictions.select(id_col, "y_true", "y_pred", "split"))
+
+
 def random_forest(
-    features: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES, target: str = "salary_k",
-    id_col: str = "job_id", seed: int = 42, num_trees: int = 100, max_depth: int = 10, partitions: int = 32,
-) -> Fitted:
-    """Forest of 100 trees of depth 10, 70/15/15 split; ``partitions`` is part of the model's definition."""
-    rows = _placed(split_70_15_15(_rows(features, target, id_col, columns), id_col, seed), id_col, partitions)
-    return _fit([
-        VectorAssembler(inputCols=list(columns), outputCol="features"),
-        _forest(target, num_trees, max_depth, seed),
-    ], rows, list(columns), target, id_col, "train")
+    features: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES, target: str = "salary_k", id_col: str = "job_id",
+    seed: int = 42, num_trees: int = 100, max_depth: int | None = 10, local_rows: int = forest.LOCAL_ROWS,
+) -> FittedForest:
+    """Forest of 100 trees of depth 10, 70/15/15 split; each node draws a third of the columns."""
+    rows = split_70_15_15(_rows(features, target, id_col, columns), id_col, seed)
+    return _fit_forest(rows, columns, [], target, id_col, num_trees=num_trees, max_depth=max_depth,
+                       per_node=math.ceil(len(columns) / 3), seed=seed, local_rows=local_rows)
 
 
 def _one_hot_pipeline(features: DataFrame, cat_cols: Sequence[str], target: str, id_col: str) -> tuple[list, list[str]]:
@@ -150,16 +150,16 @@ def linear_regression_onehot(
 
 
 def random_forest_onehot(
-    features: DataFrame, cat_cols: Sequence[str] = CATEGORICAL_FEATURES, target: str = "salary_k",
-    id_col: str = "job_id", seed: int = 42, num_trees: int = 100, max_depth: int = 30, partitions: int = 32,
-) -> Fitted:
-    """Forest on numeric and one-hot columns; depth 30 is the most MLlib grows, ``partitions`` as in ``random_forest``."""
-    stages, numbers = _one_hot_pipeline(features, cat_cols, target, id_col)
-    rows = _placed(
-        split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed), id_col, partitions
-    )
-    forest = _forest(target, num_trees, max_depth, seed)
-    return _fit([*stages, forest], rows, None, target, id_col, "train")
+    features: DataFrame, cat_cols: Sequence[str] = CATEGORICAL_FEATURES, target: str = "salary_k", id_col: str = "job_id",
+    seed: int = 42, num_trees: int = 100, max_depth: int | None = None, local_rows: int = forest.LOCAL_ROWS,
+) -> FittedForest:
+    """Forest on numeric and text columns, without a limit of depth and with all columns at every node.
+
+    A text column is split into two sets of its levels; a set of one level is what a one-hot slot would give.
+    """
+    numbers = numeric_feature_columns(features, id_col, target, cat_cols)
+    rows = split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed)
+    return _fit_forest(rows, numbers, cat_cols, target, id_col, num_trees=num_trees, max_depth=max_depth, seed=seed, local_rows=local_rows)
 
 
 def vector_columns(df: DataFrame, vector: str, names: Sequence[str], keep: Sequence[str] = ("job_id",)) -> DataFrame:

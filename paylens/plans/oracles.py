@@ -6,8 +6,9 @@ the pipeline written as plain SQL.
 
 from __future__ import annotations
 
+from paylens.plans import forest_sql
 from paylens.schemas import (
-    AUDITED_FEATURES, CSV_NA_TOKENS, EDUCATION_LEVEL, EMPLOYEE_COLUMNS, INDUSTRY_SCORE, JOB_ROLE_RANK,
+    AUDITED_FEATURES, CATEGORICAL_FEATURES, CSV_NA_TOKENS, EDUCATION_LEVEL, EMPLOYEE_COLUMNS, INDUSTRY_SCORE, JOB_ROLE_RANK,
     MAJOR_SCORE, NA_TOKENS, NUMERIC_FEATURES,
 )
 
@@ -465,6 +466,12 @@ FROM parts, (SELECT CAST(min(salary_k) AS DOUBLE) AS lo, CAST(max(salary_k) AS D
     "linear_regression_metrics": _metrics("ols", "split", 4),
     "regression_metrics": _metrics("pred", "split", 6),
     "predictions_table": "SELECT job_id, y_true, round(y_pred, 6) AS y_pred, split FROM pred",
+    # forests, grown in SQL
+    **{k: v for key in ("random_forest", "random_forest_onehot") for k, v in {
+        key: "SELECT job_id, y_true, round(y_pred, 6) AS y_pred, split FROM forest_pred",
+        f"{key}_metrics": _metrics("forest_pred", "split", 6),
+        f"{key}_weights": "SELECT feature, round(weight, 9) AS weight FROM forest_weights",
+    }.items()},
     # models that only fit iteratively: which rows they predict, and that they beat the straight line
     **_model_checks("random_forest", "parts70", "in_range"),
     **_model_checks("linear_regression_onehot", "parts", "finite"),
@@ -475,7 +482,7 @@ FROM parts, (SELECT CAST(min(salary_k) AS DOUBLE) AS lo, CAST(max(salary_k) AS D
 }
 
 _SPLIT70 = '''parts70 AS (
-SELECT job_id, salary_k, CASE WHEN b < 7000 THEN 'train' WHEN b < 8500 THEN 'val' ELSE 'test' END AS split FROM parts
+SELECT * EXCLUDE (split), CASE WHEN b < 7000 THEN 'train' WHEN b < 8500 THEN 'val' ELSE 'test' END AS split FROM parts
 )'''
 _PER_CLASS = '''per AS (
 SELECT CAST(v AS VARCHAR) AS label, hits, support, CASE WHEN named = 0 THEN 0 ELSE hits / named END AS precision_,
@@ -486,7 +493,12 @@ FROM (SELECT v, count(*) FILTER (WHERE y_true = v AND y_pred = v) AS hits, count
 )'''
 # the handcrafted score is the sum of the four others, so it adds nothing to the span
 _OLS = _least_squares([c for c in NUMERIC_FEATURES if c != "handcrafted_score"])
+# fixed values: the published number of trees and depth; a third of the seven columns is drawn at each node
+_FOREST = f"{_SPLIT70}, {forest_sql.forest('parts70', NUMERIC_FEATURES, (), 100, 10, 3)}"
+_FOREST_ONEHOT = forest_sql.forest("parts", NUMERIC_FEATURES, CATEGORICAL_FEATURES, 100, None, None)
 _EXTRA_VIEWS = {
+    **{f"random_forest{part}": _FOREST for part in ("", "_metrics", "_weights")},
+    **{f"random_forest_onehot{part}": _FOREST_ONEHOT for part in ("", "_metrics", "_weights")},
     "classification_report": _PER_CLASS, "roc_pr_curves": _CURVE, "roc_pr_auc": _CURVE,
     "linear_regression": _OLS, "linear_regression_metrics": _OLS,
     "random_forest_rows": _SPLIT70, "random_forest_beats_line": _SPLIT70,

@@ -82,16 +82,6 @@ def test_one_hot_regression_equals_least_squares(tables):
     assert len(compared) > 0.9 * len(got) and max(compared) < 0.01
 
 
-def test_forests_beat_the_mean(tables):
-    for fitted in (
-        regressors.random_forest(tables.features, num_trees=10),
-        regressors.random_forest_onehot(tables.features, num_trees=5, max_depth=12),
-    ):
-        assert all(r["r2"] > 0.5 for r in fitted.metrics().collect())
-        importances = [r["weight"] for r in fitted.weights().collect()]
-        assert sum(importances) == pytest.approx(1.0) and importances == sorted(importances, reverse=True)
-
-
 def test_missing_target_is_a_clear_error(tables):
     with pytest.raises(KeyError, match="salary_k"):
         regressors.linear_regression(tables.features.drop("salary_k"))
@@ -198,15 +188,6 @@ def test_categoricals_may_be_absent(tables):
     assert result.prepared.layout.cards == () and result.metrics().count() == 1
 
 
-def test_forest_does_not_depend_on_the_layout(tables):
-    """The rows' ids place them, not the partitions they come in."""
-    a, b = (
-        {r["job_id"]: r["y_pred"] for r in regressors.random_forest(tables.features.repartition(n), num_trees=5, max_depth=4).predictions.collect()}
-        for n in (4, 7)
-    )
-    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-6
-
-
 def test_a_network_too_large_to_be_sent_is_an_error(tables, monkeypatch):
     monkeypatch.setattr(net, "MAX_WEIGHTS", 10)
     with pytest.raises(ValueError, match="weights"):
