@@ -137,7 +137,7 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, path: str, s
     """A subtree over some rows, as packed arrays in order of levels; ``child`` is the left one's number, the right one follows it."""
     features, masks, children, weights, sums, gains = [], [], [], [], [], []
     rows, at = np.arange(len(y)), np.zeros(len(y), np.int64)
-    wy = w * y
+    wy, columns = w * y, np.ascontiguousarray(bins.T)
     k, first, depth = 1, 0, len(path)
     paths = [path] if spec.per_node is not None else None
     while k:
@@ -149,12 +149,13 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, path: str, s
                 b = min(a + step, k)
                 lo, hi = np.searchsorted(at, [a, b])
                 some, where = rows[lo:hi], at[lo:hi] - a
+                some_w, some_wy = w[some], wy[some]
                 best = Splits(n[a:b], s[a:b], spec, spec.allowed(tree, paths and paths[a:b], b - a))
                 for f, size in enumerate(spec.sizes):
-                    cell = where * size + bins[some, f]
+                    cell = where * size + columns[f][some]
                     shape = (b - a, size)
-                    best.add(f, np.bincount(cell, w[some], (b - a) * size).reshape(shape),
-                             np.bincount(cell, wy[some], (b - a) * size).reshape(shape))
+                    best.add(f, np.bincount(cell, some_w, (b - a) * size).reshape(shape),
+                             np.bincount(cell, some_wy, (b - a) * size).reshape(shape))
                 gain[a:b] = best.done()
                 feature[a:b], mask[a:b] = best.feature, best.mask
         split = np.flatnonzero(feature >= 0)
@@ -344,7 +345,7 @@ class Forest:
         return out.join(edges, ["feature", "bin"], "left").drop("bin").select(
             "tree", "path", "feature", "edge", "bins", "n", "prediction", "gain")
 
-    def importances(self) -> DataFrame:
+    def weights(self) -> DataFrame:
         """(feature, weight): each tree's gains by feature, as shares of the tree's gain, averaged over the trees."""
         gains = self.nodes().where("feature IS NOT NULL").groupBy("tree", "feature").agg(F.sum("gain").alias("gain"))
         totals = gains.groupBy("tree").agg(F.sum("gain").alias("total"))

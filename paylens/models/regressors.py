@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.functions.columns import require
-from paylens.models import forest
+from paylens.models import forest, onehot_line
 from paylens.models.evaluation import regression_metrics
-from paylens.operators.features import numeric_feature_columns, one_hot_stages
+from paylens.operators.features import numeric_feature_columns
 from paylens.operators.splits import split_64_16_20, split_70_15_15
 from paylens.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from paylens.session import stage_table
@@ -44,18 +44,18 @@ class Fitted:
 
 
 @dataclass
-class FittedForest:
-    """A fitted forest with its predictions outside the training rows."""
+class FittedTable:
+    """A model that is kept as tables, with its predictions outside the training rows."""
 
-    model: forest.Forest
+    model: forest.Forest | onehot_line.OneHotLine
     predictions: DataFrame
 
     def metrics(self) -> DataFrame:
         return regression_metrics(self.predictions)
 
     def weights(self, top_n: int | None = None) -> DataFrame:
-        """Importance of every column, largest first."""
-        ordered = self.model.importances().orderBy(F.desc("weight"), "feature")
+        """Importances of a forest or coefficients of a line, largest magnitude first."""
+        ordered = self.model.weights().orderBy(F.desc(F.abs("weight")), "feature")
         return ordered.limit(top_n) if top_n else ordered
 
 
@@ -67,7 +67,7 @@ def predict(model: PipelineModel, df: DataFrame, target: str = "salary_k", id_co
     )
 
 
-def _fit(stages: list, split_rows: DataFrame, names: list[str] | None, target: str, id_col: str, fit_on: str) -> Fitted:
+def _fit(stages: list, split_rows: DataFrame, names: list[str], target: str, id_col: str, fit_on: str) -> Fitted:
     """Fit on the training rows, or the preparing stages on all rows (``fit_on="all"``)."""
     if fit_on not in ("train", "all"):
         raise ValueError(f"fit_on must be 'train' or 'all', not {fit_on!r}")
@@ -77,8 +77,6 @@ def _fit(stages: list, split_rows: DataFrame, names: list[str] | None, target: s
         model = PipelineModel(stages=[*prepared.stages, stages[-1].fit(prepared.transform(train))])
     else:
         model = Pipeline(stages=stages).fit(train)
-    if names is None:
-        names = _one_hot_names(model)
     return Fitted(model, predict(model, split_rows.where(F.col("split") != "train"), target, id_col), names)
 
 
@@ -101,58 +99,48 @@ def linear_regression(
     ], rows, list(columns), target, id_col, fit_on)
 
 
-def _fit_forest(split_rows: DataFrame, numeric: Sequence[str], text: Sequence[str], target: str, id_col: str, **settings) -> FittedForest:
+def _fit_forest(split_rows: DataFrame, numeric: Sequence[str], text: Sequence[str], target: str, id_col: str, **settings) -> FittedTable:
     grown = forest.fit(split_rows.where(F.col("split") == "train"), numeric, text, target, id_col, **settings)
     held_out = split_rows.where(F.col("split") != "train").withColumn("y_true", F.col(target).cast("double"))
     predictions = stage_table(grown.predict(held_out, [id_col, "y_true", "split"]), "predictions")
-    return FittedForest(grown, predictions.select(id_col, "y_true", "y_pred", "split"))
+    return FittedTable(grown, predictions.select(id_col, "y_true", "y_pred", "split"))
 
 
 def random_forest(
     features: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES, target: str = "salary_k", id_col: str = "job_id",
     seed: int = 42, num_trees: int = 100, max_depth: int | None = 10, local_rows: int = forest.LOCAL_ROWS,
-) -> FittedForest:
+) -> FittedTable:
     """Forest of 100 trees of depth 10, 70/15/15 split; each node draws a third of the columns."""
     rows = split_70_15_15(_rows(features, target, id_col, columns), id_col, seed)
     return _fit_forest(rows, columns, [], target, id_col, num_trees=num_trees, max_depth=max_depth,
                        per_node=math.ceil(len(columns) / 3), seed=seed, local_rows=local_rows)
 
 
-def _one_hot_pipeline(features: DataFrame, cat_cols: Sequence[str], target: str, id_col: str) -> tuple[list, list[str]]:
-    numbers = numeric_feature_columns(features, id_col, target, cat_cols)
-    hot = [f"{c}_hot" for c in cat_cols]
-    return [*one_hot_stages(cat_cols), VectorAssembler(inputCols=[*numbers, *hot], outputCol="features")], numbers
-
-
-def _one_hot_names(model: PipelineModel) -> list[str]:
-    """Numeric names first, then ``column_level`` in the order of the slots."""
-    indexer, assembler = model.stages[0], model.stages[2]
-    levels = [
-        f"{c}_{label}" for c, labels in zip(indexer.getInputCols(), indexer.labelsArray) for label in labels
-    ]
-    return [c for c in assembler.getInputCols() if not c.endswith("_hot")] + levels
-
-
 def linear_regression_onehot(
     features: DataFrame, cat_cols: Sequence[str] = CATEGORICAL_FEATURES, target: str = "salary_k",
     id_col: str = "job_id", seed: int = 42, fit_on: str = "train",
-) -> Fitted:
+) -> FittedTable:
     """Least squares on numeric and one-hot columns; predictions for both held-out splits.
 
-    All levels are kept, so the coefficients are not unique: compare
-    predictions and metrics only.
+    All levels are kept, so the coefficients are not unique: compare predictions and metrics only. ``fit_on="all"`` also lists
+    the levels that training rows do not have, with a weight of 0, which is how they count anyway.
     """
-    stages, numbers = _one_hot_pipeline(features, cat_cols, target, id_col)
+    numbers = numeric_feature_columns(features, id_col, target, cat_cols)
     rows = split_64_16_20(_rows(features, target, id_col, [*numbers, *cat_cols]), id_col=id_col, seed=seed)
-    # iterative whatever the number of levels
-    line = LinearRegression(featuresCol="features", labelCol=target, solver="l-bfgs", tol=1e-9, maxIter=300)
-    return _fit([*stages, line], rows, None, target, id_col, fit_on)
+    if fit_on not in ("train", "all"):
+        raise ValueError(f"fit_on must be 'train' or 'all', not {fit_on!r}")
+    line = onehot_line.fit(rows.where(F.col("split") == "train"), numbers, cat_cols, target)
+    if fit_on == "all":
+        line = line.with_levels_of(rows)
+    held_out = rows.where(F.col("split") != "train").withColumn("y_true", F.col(target).cast("double"))
+    predictions = line.predict(held_out, [id_col, "y_true", "split"])
+    return FittedTable(line, predictions.select(id_col, "y_true", "y_pred", "split"))
 
 
 def random_forest_onehot(
     features: DataFrame, cat_cols: Sequence[str] = CATEGORICAL_FEATURES, target: str = "salary_k", id_col: str = "job_id",
     seed: int = 42, num_trees: int = 100, max_depth: int | None = None, local_rows: int = forest.LOCAL_ROWS,
-) -> FittedForest:
+) -> FittedTable:
     """Forest on numeric and text columns, without a limit of depth and with all columns at every node.
 
     A text column is split into two sets of its levels; a set of one level is what a one-hot slot would give.

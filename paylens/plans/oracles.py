@@ -248,6 +248,42 @@ SELECT job_id, split, y_true, y_pred + slope * {x} AS y_pred, rest - slope * {x}
     return ", ".join(views)
 
 
+def _least_squares_onehot(numeric, text) -> str:
+    """Views ending in ``oh_pred``: normal equations, solved by elimination, one column a step.
+
+    A column that the earlier ones already span leaves a pivot of zero and gets no weight.
+    """
+    numbers = _union(f"SELECT job_id, split, salary_k, {i} AS of, '' AS level, CAST({c} AS DOUBLE) AS v FROM parts" for i, c in enumerate(numeric, 1))
+    levels = _union(f"SELECT job_id, split, salary_k, {i + len(numeric)}, {c}, 1.0 FROM parts" for i, c in enumerate(text, 1))
+    return f"""oh_long AS MATERIALIZED (
+SELECT job_id, split, CAST(salary_k AS DOUBLE) AS y, 0 AS of, '' AS level, CAST(1 AS DOUBLE) AS v FROM parts
+UNION ALL {numbers}
+UNION ALL {levels}
+), oh_slots AS MATERIALIZED (
+SELECT of, level, row_number() OVER (ORDER BY of, level) AS i FROM (SELECT DISTINCT of, level FROM oh_long WHERE split = 'train')
+), oh_train AS MATERIALIZED (
+SELECT job_id, y, i, v FROM oh_long JOIN oh_slots USING (of, level) WHERE split = 'train'
+), oh_sums AS MATERIALIZED (
+SELECT a.i AS i, b.i AS j, sum(a.v * b.v) AS g FROM oh_train a JOIN oh_train b USING (job_id) GROUP BY ALL
+UNION ALL SELECT i, (SELECT count(*) + 1 FROM oh_slots), sum(v * y) FROM oh_train GROUP BY i
+), oh_rows AS MATERIALIZED (
+SELECT i, list(coalesce(g, 0) ORDER BY j) AS r FROM (SELECT a.i, b.j FROM oh_slots a, (SELECT i AS j FROM oh_slots UNION ALL SELECT count(*) + 1 FROM oh_slots) b)
+LEFT JOIN oh_sums USING (i, j) GROUP BY i
+), oh_solved AS (
+WITH RECURSIVE steps(k, i, d, r) AS (
+SELECT CAST(0 AS BIGINT), i, r[i], r FROM oh_rows
+UNION ALL
+SELECT s.k + 1, s.i, s.d, CASE WHEN p.pivot <= 1e-9 * p.d THEN s.r WHEN s.i = p.i THEN list_transform(s.r, lambda x: x / p.pivot)
+  ELSE list_transform(list_zip(s.r, p.r), lambda x: x[1] - s.r[s.k + 1] / p.pivot * x[2]) END
+FROM steps s JOIN (SELECT k, i, d, r, r[i] AS pivot FROM steps) p ON p.k = s.k AND p.i = s.k + 1
+)
+SELECT i, CASE WHEN abs(r[i] - 1) < 1e-6 THEN r[-1] ELSE 0 END AS w FROM steps WHERE k = (SELECT count(*) FROM oh_slots)
+), oh_pred AS (
+SELECT job_id, any_value(y) AS y_true, sum(coalesce(w, 0) * v) AS y_pred, any_value(split) AS split
+FROM oh_long LEFT JOIN oh_slots USING (of, level) LEFT JOIN oh_solved USING (i) WHERE split <> 'train' GROUP BY job_id
+)"""
+
+
 _EMPLOYEE = ", ".join(_quoted(c) for c in EMPLOYEE_COLUMNS)
 _TEXT = ("job_role", "education", "major", "industry")
 _NUMBERS = ("company_id", "years_experience", "distance_from_cbd", "salary_k")
@@ -466,6 +502,8 @@ FROM parts, (SELECT CAST(min(salary_k) AS DOUBLE) AS lo, CAST(max(salary_k) AS D
     "linear_regression_metrics": _metrics("ols", "split", 4),
     "regression_metrics": _metrics("pred", "split", 6),
     "predictions_table": "SELECT job_id, y_true, round(y_pred, 6) AS y_pred, split FROM pred",
+    "linear_regression_onehot": "SELECT job_id, y_true, round(y_pred, 4) AS y_pred, split FROM oh_pred",
+    "linear_regression_onehot_metrics": _metrics("oh_pred", "split", 4),
     # forests, grown in SQL
     **{k: v for key in ("random_forest", "random_forest_onehot") for k, v in {
         key: "SELECT job_id, y_true, round(y_pred, 6) AS y_pred, split FROM forest_pred",
@@ -496,7 +534,9 @@ _OLS = _least_squares([c for c in NUMERIC_FEATURES if c != "handcrafted_score"])
 # fixed values: the published number of trees and depth; a third of the seven columns is drawn at each node
 _FOREST = f"{_SPLIT70}, {forest_sql.forest('parts70', NUMERIC_FEATURES, (), 100, 10, 3)}"
 _FOREST_ONEHOT = forest_sql.forest("parts", NUMERIC_FEATURES, CATEGORICAL_FEATURES, 100, None, None)
+_OLS_ONEHOT = _least_squares_onehot(NUMERIC_FEATURES, CATEGORICAL_FEATURES)
 _EXTRA_VIEWS = {
+    "linear_regression_onehot": _OLS_ONEHOT, "linear_regression_onehot_metrics": _OLS_ONEHOT,
     **{f"random_forest{part}": _FOREST for part in ("", "_metrics", "_weights")},
     **{f"random_forest_onehot{part}": _FOREST_ONEHOT for part in ("", "_metrics", "_weights")},
     "classification_report": _PER_CLASS, "roc_pr_curves": _CURVE, "roc_pr_auc": _CURVE,
