@@ -7,7 +7,8 @@ first; below, a level is joined only under nodes that differ, down to offsets an
 A leaf sums its records' SHA-256 digests, in four parts, so repeated records at one offset are reduced on the map side
 however many there are; it does not depend on their order. Nodes hash their children in order.
 
-Nulls are values of their own: a null archive or offset (as -1) and null contents compare equal to each other only.
+Nulls are values of their own: null archives, null offsets and null contents compare equal to each other only. An archive's
+records without offset are a tree of their own. Names of archives in a tree are as ``_key`` forms them.
 Records that one replica lacks are found as well as altered ones. An empty replica lacks all. Only the named columns are read.
 """
 
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 from paylens.session import stage_table
 
 FANOUT = 16
-LEVELS = 3
 
 
 def record_hash(names: list[str]) -> Column:
@@ -31,9 +31,23 @@ def record_hash(names: list[str]) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
+def _key(archive: Column, offset: Column) -> Column:
+    """An archive's name; a null one, and one for records without offset, start with a null character, as no other name is left to."""
+    name = F.when(archive.isNull(), "\0n").when(archive.startswith("\0"), F.concat(F.lit("\0e"), archive)).otherwise(archive)
+    return F.when(offset.isNull(), F.concat(F.lit("\0o"), name)).otherwise(name)
+
+
 def _place(archive: str, offset: str) -> tuple[Column, Column]:
-    return (F.coalesce(F.col(archive).cast("string"), F.lit("")).alias("archive"),
-            F.coalesce(F.col(offset).cast("long"), F.lit(-1)).alias("node"))
+    node = F.col(offset).cast("long")
+    return _key(F.col(archive).cast("string"), node).alias("archive"), F.coalesce(node, F.lit(0)).alias("node")
+
+
+def _named(key: Column, node: Column) -> tuple[Column, Column]:
+    """(archive, offset) of a key: inverse of ``_place``."""
+    no_offset = key.startswith("\0o")
+    name = F.when(no_offset, F.substring(key, 3, 2**30)).otherwise(key)
+    archive = F.when(name == "\0n", None).when(name.startswith("\0e"), F.substring(name, 3, 2**30)).otherwise(name)
+    return archive.alias("archive"), F.when(~no_offset, node).alias("offset")
 
 
 def leaves(records: DataFrame, archive: str, offset: str, contents: list[str]) -> DataFrame:
@@ -52,9 +66,24 @@ def parents(level: DataFrame, fanout: int) -> DataFrame:
     return up.select("archive", F.col("up").alias("node"), F.sha2(text, 256).alias("digest"), "n")
 
 
-def tree(records: DataFrame, archive: str, offset: str, contents: list[str], fanout: int = FANOUT, levels: int = LEVELS) -> list[DataFrame]:
-    """Levels from the leaves to the roots of the archives, each written to the shared folder."""
-    out = [stage_table(leaves(records, archive, offset, contents), "leaves")]
+def levels_for(fanout: int, *leaves_: DataFrame) -> int:
+    """Levels above the leaves until an archive has one node left, so that no root has more than ``fanout`` children."""
+    largest = max([x for t in leaves_ for x in t.agg(F.max("node"), -F.min("node")).first() if x is not None], default=0)
+    levels = 1
+    while fanout**levels <= largest:
+        levels += 1
+    return levels
+
+
+def tree(records: DataFrame, archive: str, offset: str, contents: list[str], fanout: int = FANOUT, levels: int | None = None) -> list[DataFrame]:
+    """Levels from the leaves to the roots of the archives, each written to the shared folder; as many as the largest offset needs."""
+    first = stage_table(leaves(records, archive, offset, contents), "leaves")
+    return grown(first, fanout, levels_for(fanout, first) if levels is None else levels)
+
+
+def grown(first: DataFrame, fanout: int, levels: int) -> list[DataFrame]:
+    """All levels above the leaves."""
+    out = [first]
     for k in range(levels):
         out.append(stage_table(parents(out[-1], fanout), f"level{k + 1}"))
     top = out[-1].groupBy("archive").agg(F.array_sort(F.collect_list(F.struct("node", "digest"))).alias("c"), F.sum("n").alias("n"))
@@ -87,8 +116,10 @@ def damage(primary: DataFrame, replica: DataFrame, archive: str, offset: str, co
 
     An altered record is one that only the primary has and one that only the replica has, at the same offset.
     """
-    bad = stage_table(audit(tree(primary, archive, offset, contents, **shape), tree(replica, archive, offset, contents, **shape),
-                            **{k: v for k, v in shape.items() if k == "fanout"}), "damage").select("archive", "node")
+    fanout = shape.get("fanout", FANOUT)
+    both = [stage_table(leaves(r, archive, offset, contents), "leaves") for r in (primary, replica)]
+    levels = shape.get("levels") or levels_for(fanout, *both)
+    bad = stage_table(audit(*[grown(t, fanout, levels) for t in both], fanout=fanout), "damage").select("archive", "node")
     key = ["archive", "node", "record_sha256"]
 
     def counted(records: DataFrame, name: str) -> DataFrame:
@@ -96,4 +127,5 @@ def damage(primary: DataFrame, replica: DataFrame, archive: str, offset: str, co
         return keyed.join(bad, ["archive", "node"], "left_semi").groupBy(*key).agg(F.count("*").alias(name))
 
     both = counted(primary, "n_primary").join(counted(replica, "n_replica"), key, "full").na.fill(0, ["n_primary", "n_replica"])
-    return both.where("n_primary != n_replica").withColumnRenamed("node", "offset")
+    return both.where("n_primary != n_replica").select(
+        *_named(F.col("archive"), F.col("node")), "record_sha256", "n_primary", "n_replica")

@@ -11,7 +11,7 @@ def records(spark, rows):
 
 def found(spark, a, b, **shape):
     out = fixity.damage(records(spark, a), records(spark, b), "archive", "offset", ["body"], **shape)
-    return sorted(((r.archive, r.offset, r.record_sha256, r.n_primary, r.n_replica) for r in out.collect()))
+    return sorted(((r.archive, r.offset, r.record_sha256, r.n_primary, r.n_replica) for r in out.collect()), key=str)
 
 
 def digest(body):
@@ -38,6 +38,25 @@ def test_repeats_nulls_and_empty_texts(spark):
         ("a", 3, digest(None), 0, 1)])
 
 
+def test_null_names_and_offsets_equal_nothing_else(spark):
+    names = [None, "", "\0n", "\0e", "\0o", "\0o\0n", "n", "a"]
+    for x in names:
+        for y in names:
+            want = [] if x == y else [(x, 1, digest("b"), 1, 0), (y, 1, digest("b"), 0, 1)]
+            if x is None or (x, y) in {("", "n"), ("\0n", "\0e"), ("a", "\0o\0n"), ("\0o", "\0o")}:
+                assert found(spark, [(x, 1, "b")], [(y, 1, "b")]) == sorted(want, key=str)
+    for x, y in ((None, -1), (None, 0), (0, None), (-1, 0)):
+        assert found(spark, [("a", x, "b")], [("a", y, "b")]) == sorted([("a", x, digest("b"), 1, 0), ("a", y, digest("b"), 0, 1)], key=str)
+    assert found(spark, [(None, None, "b")], [(None, 5, "b")]) == sorted([(None, None, digest("b"), 1, 0), (None, 5, digest("b"), 0, 1)], key=str)
+
+
+def test_levels_grow_with_the_offsets(spark):
+    a = [("a", 10**9 + 512 * i, f"{i}") for i in range(20)] + [("a", 3, "x")]
+    tree = fixity.tree(records(spark, a), "archive", "offset", ["body"])
+    assert len(tree) == 10 and tree[-2].count() == 1
+    assert found(spark, a, a[1:]) == [("a", 10**9, digest("0"), 1, 0)]
+
+
 def test_empty_replicas(spark):
     a = [("a", 1, "x")]
     assert found(spark, [], []) == []
