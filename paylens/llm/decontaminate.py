@@ -7,7 +7,8 @@ postings of a frequent word lie in every segment. Benchmark windows visit all
 segments in batches of bounded size; a window starts from its rarest word
 and intersects the other words' lists, each shifted by its offset.
 
-Null texts have no words; an item without words has no window. Repeated rows are
+Null texts have no words; an item without words has no window. The words of an item without id are hit like others, but it is in no
+list of items; ids are whole numbers. Repeated rows are
 each reported; repeated items count once. Empty tables give empty results or
 documents without hits. Only the named columns are read.
 """
@@ -131,13 +132,15 @@ class Segment:
         return False
 
 
-def windows(texts: list[tuple[int, str | None]], size: int) -> dict[tuple[bytes, ...], set[int]]:
-    """Distinct windows of ``size`` words with their items; a shorter item is one window."""
+def windows(texts: list[tuple[int | None, str | None]], size: int) -> dict[tuple[bytes, ...], set[int]]:
+    """Distinct windows of ``size`` words with their items, of which those without id have no name; a shorter item is one window."""
     out: dict[tuple[bytes, ...], set[int]] = {}
     for item, text in texts:
         words = alnum_words(text)
         for i in range(max(1, len(words) - size + 1) if words else 0):
-            out.setdefault(tuple(words[i:i + size]), set()).add(item)
+            of = out.setdefault(tuple(words[i:i + size]), set())
+            if item is not None:
+                of.add(item)
     return out
 
 
@@ -151,7 +154,7 @@ def matches(index: DataFrame, items: DataFrame, window: int = 13, slop: int = 7,
     """
     if window + slop > GAP:
         raise ValueError(f"a span may have {GAP} words at most")
-    queries = columns(items, "item_id", "text").where(F.col("item_id").isNotNull())
+    queries = columns(items, "item_id", "text")
     total = queries.agg(F.sum(F.length("text"))).first()[0] or 0
     n = total // batch_chars + 1
     found = None

@@ -10,7 +10,7 @@ WITH word_lists AS (
   FROM documents),
 item_lists AS (
   SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL),
+  FROM benchmark),
 item_windows AS (
   SELECT DISTINCT item_id, least(13, len(w)) AS size,
          list_aggregate(w[i : i + least(13, len(w)) - 1], 'string_agg', ' ') AS win
@@ -25,7 +25,7 @@ hits AS (
     SELECT doc_id, unnest(range(i, i + size)) AS place FROM (SELECT DISTINCT doc_id, i, size FROM found)) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

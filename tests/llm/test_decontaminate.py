@@ -11,7 +11,7 @@ ITEMS = "item_id long, text string"
 
 
 def brute(rows, items, window, slop):
-    wins = [(i, tuple(w[k:k + window])) for i, t in items if i is not None for w in [alnum_words(t)]
+    wins = [(i, tuple(w[k:k + window])) for i, t in items for w in [alnum_words(t)]
             for k in range(max(1, len(w) - window + 1) if w else 0)]
     out = []
     for d, t in rows:
@@ -28,7 +28,7 @@ def brute(rows, items, window, slop):
                 span = w[k:k + n + slop]
                 if all(span.count(x) >= c for x, c in need.items()):
                     near.add(i)
-        out.append((d, len(w), sorted(hits), sorted(found), sorted(near)))
+        out.append((d, len(w), sorted(hits), sorted(found - {None}), sorted(near - {None})))
     return sorted(out, key=str)
 
 
@@ -93,3 +93,12 @@ def test_rows_are_dropped_by_id_and_text(spark, docs_of):
     left = lambda **options: {(r.doc_id, r.text) for r in M.drop_contaminated(docs_of(rows), items, **options).collect()}
     assert left(null_ids=True) == {(1, "clean"), (None, "clean too"), (None, None)}
     assert left() == {(1, "clean"), (None, "clean too"), (None, None), (None, item)}
+
+
+def test_items_without_id_hit_words_but_have_no_name(spark, docs_of):
+    item = " ".join(f"w{i}" for i in range(13))
+    items = spark.createDataFrame([(None, item), (5, f"x {item}")], ITEMS)
+    out = {r.doc_id: (len(r.hits), r.items, r.contaminated) for r in M.contamination(docs_of([(1, item), (2, f"x {item}"), (3, "w1 w2")]), items).collect()}
+    assert out == {1: (13, [5], True), 2: (14, [5], True), 3: (0, [], False)}
+    only = {r.doc_id: (len(r.hits), r.items) for r in M.contamination(docs_of([(1, item)]), items.where("item_id IS NULL")).collect()}
+    assert only == {1: (13, [])}
