@@ -89,8 +89,11 @@ def _buckets(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _level(counts: np.ndarray) -> np.ndarray:
-    """Counts on a scale of eight steps per doubling: one byte, in the same order."""
-    return np.floor(8 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+    """Counts on a scale of eight steps per doubling: one byte, in the same order, 0 for a count of 1 only.
+
+    From 2**31.875 on all are one step: more frequent ones are ordered by hash, as those of equal counts are.
+    """
+    return np.minimum(np.floor(8 * np.log2(np.maximum(counts, 1))), 255).astype(np.uint8)
 
 
 def set_rows(docs: DataFrame, n: int, num: int, den: int, block_chars: int = BLOCK_CHARS) -> DataFrame:

@@ -120,3 +120,9 @@ def test_rows_are_judged_whatever_their_ids(docs_of):
         [(3, copy), (3, other), (None, "alone"), (None, None), (7, "own")], key=str)
     assert out.columns == docs_of(rows).columns
     assert sorted((r.doc_id for r in M.one_of_each(docs_of(rows)).collect()), key=str) == sorted([3, 3, 7, *[None] * 4], key=str)
+
+
+def test_levels_of_counts_keep_their_order():
+    counts = np.array([1, 2, 3, 2**20, 2**31, 2**32, 2**40])
+    levels = M._level(counts).astype(int)
+    assert levels[0] == 0 and (levels[1:] > 0).all() and (np.diff(levels) >= 0).all()
