@@ -1,4 +1,5 @@
 import hashlib
+from collections import defaultdict
 
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -12,18 +13,40 @@ from paylens.llm.blocks import alnum_words
 def test_stages_and_queries():
     assert [n for n, _ in P.STAGES] == [
         "toxicity", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "BPE encoding and decoding"]
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 14))
+
+
+def without_repeated_lines(rows):
+    """Lines equal to an earlier one go, and those within one edit (from 12 characters) or two (from 24) of an earlier one.
+
+    So do documents that lost a line and have none but blank ones left.
+    """
+    from test_line_dedup import near
+
+    part = lambda x: x.strip(" \t\n\x0b\f\r") != ""
+    first, by_length = {}, defaultdict(list)
+    for d, p, x in sorted((d, p, x) for d, t in rows for p, x in enumerate((t or "").split("\n")) if part(x)):
+        if first.setdefault(x, (d, p)) == (d, p):
+            by_length[len(x)].append(x)
+    edits = lambda n: 0 if n < 12 else 1 if n < 24 else 2
+    gone = {x for x in first for n in range(len(x) - 2, len(x) + 3) for y in by_length[n]
+            if first[y] < first[x] and near(x, y, edits(min(n, len(x))))}
+    out = []
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        keep = [x for p, x in enumerate(lines) if not part(x) or (x not in gone and first[x] == (d, p))]
+        if len(keep) == len(lines) or any(map(part, keep)):
+            out.append((d, t if len(keep) == len(lines) else "\n".join(keep)))
+    return out
 
 
 def test_pipeline_equals_stages_by_brute_force(spark, sf_dir):
     from test_jaccard import brute as components
-    from test_line_dedup import brute as kept_lines
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("labels", "benchmark"))
     bad = {r.doc_id for r in toxicity.scores(docs, toxicity.train(docs, labels)).where("predicted = 1").collect()}
     rows = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id not in bad]
-    rows = [(d, t) for d, t, n, dropped in kept_lines(rows, 2, 24) if not 0 < dropped == n]
+    rows = without_repeated_lines(rows)
     first = {d for d, _, c in components(rows, 5, 80, 100) if d == c}
     rows = [(d, t) for d, t in rows if d in first]
     windows = {tuple(w[i:i + 13]) for r in items.collect() if (w := alnum_words(r.text)) for i in range(max(1, len(w) - 12))}
