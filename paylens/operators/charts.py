@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from paylens.functions.columns import require
 from paylens.operators.profiling import numeric_columns, value_counts
-from paylens.operators.ranking import grouped_quantiles, running_totals, value_counts_by
+from paylens.operators.ranking import grouped_quantiles, running_totals, value_counts_by, with_buckets
 from paylens.schemas import FENCE_FACTOR
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-SALTS = 32
 MARKS = {"p01": 0.01, "q25": 0.25, "q50": 0.5, "q75": 0.75, "p99": 0.99}
 
 
@@ -49,11 +48,11 @@ def chart_grouped_box_stats(df: DataFrame, by: str, value: str = "salary_k") ->
     quartiles = grouped_quantiles(rows, value, QUARTILES, [by])
     reach = FENCE_FACTOR * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    # the fence meets the counted values, one row per (group, value), not the raw rows;
-    # salted, so that the values of a hot group are spread over tasks here too
-    counted = value_counts_by(rows, value, [by]).withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
-    fences = quartiles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return counted.join(fences, [by, "_salt"]).groupBy(by, "q1", "median", "q3").agg(
+    # the fence meets the counted values, one row per (group, value), not the raw rows, and bucket by bucket,
+    # so that the values of a hot group are spread over tasks here too
+    counted = with_buckets(value_counts_by(rows, value, [by]), value, ["n"], [by])
+    fences = quartiles.join(counted.select(by, "_bucket").distinct(), by)
+    return counted.join(fences, [by, "_bucket"]).groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(value))).cast("double").alias("lower_whisker"),
         F.max(F.when(inside, F.col(value))).cast("double").alias("upper_whisker"),
         F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("n_outliers"),

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens.functions.columns import lookup, percent, require
+from paylens.functions.special import student_p
 from paylens.operators.profiling import numeric_columns
 from paylens.operators.ranking import average_ranks, grouped_quantiles
 from paylens.schemas import EDUCATION_LEVEL, MEDIAN_SALARY_K
@@ -116,13 +115,11 @@ def pearson(df: DataFrame, x: str = "years_experience", y: str = "salary_k") ->
 def pearson_test(
     df: DataFrame, x: str = "years_experience", y: str = "salary_k", level: float = 0.05
 ) -> DataFrame:
-    """``pearson`` with its two-sided p-value, which is that of a one-variable regression."""
-    require(df, x, y)
-    pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    points = VectorAssembler(inputCols=["x"], outputCol="features").transform(pairs).select("features", "y")
-    fit = LinearRegression(featuresCol="features", labelCol="y", solver="normal").fit(points)
-    p = float(fit.summary.pValues[0])
-    return pearson(df, x, y).withColumns({"p_value": F.lit(p), "significant": F.lit(p < level)})
+    """``pearson`` with its two-sided p-value, that of Student's t with n - 2 degrees of freedom; 0 for a perfect line."""
+    r, n = F.col("pearson_r"), F.col("n")
+    p = F.when((n > 2) & (F.abs(r) >= 1), F.lit(0.0)).otherwise(student_p("t_stat", "df"))
+    tested = pearson(df, x, y).withColumn("df", (n - 2).cast("double")).withColumn("p_value", p)
+    return tested.withColumn("significant", F.col("p_value") < level).drop("df")
 
 
 def spearman(
@@ -175,42 +172,18 @@ def median_by_value(df: DataFrame, by: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Every pairwise Pearson correlation as (col_a, col_b, corr).
+    """Every pairwise Pearson correlation as (col_a, col_b, corr), over the rows in which both columns have a value.
 
-    A first pass fetches one row, the means and null counts. The second sums
-    the products of the centred columns: one buffer per pair, small enough to
-    be compiled, where one full correlation per pair is not. Only a pair with
-    nulls is correlated on its own, over its complete rows.
+    One scan: a row becomes its pairs, which are reduced to their co-moments on the map side, and one aggregate
+    serves all pairs. A table without rows has no pairs.
     """
     names = list(columns or numeric_columns(df))
     require(df, *names)
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in names])
-    first = values.agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in names],
-        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in names],
-    ).first()
-    centred = values.select(*[
-        (F.col(c) - F.lit(first[f"mean_{c}"] or 0.0)).alias(c) for c in names
-    ])
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    gaps = {c for c in names if first[f"null_{c}"]}
-
-    def total(i: int, j: int) -> Column:
-        a, b = F.col(names[i]), F.col(names[j])
-        return pair_correlation(a, b) if gaps & {names[i], names[j]} else F.sum(a * b)
-
-    sums = centred.agg(*[total(i, j).alias(f"c{i}_{j}") for i, j in pairs])
-
-    def corr(i: int, j: int) -> Column:
-        i, j = min(i, j), max(i, j)
-        value = F.col(f"c{i}_{j}")
-        if gaps & {names[i], names[j]}:
-            return value
-        spread = F.sqrt(F.col(f"c{i}_{i}")) * F.sqrt(F.col(f"c{j}_{j}"))
-        return F.when(spread > 0, value / spread)
-
-    rows = [
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), corr(i, j).alias("corr"))
-        for i, a in enumerate(names) for j, b in enumerate(names)
-    ]
-    return sums.select(F.inline(F.array(*rows)))
+    value = [F.col(c).cast("double") for c in names]
+    of_row = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), value[i].alias("x"), value[j].alias("y")) for i, j in pairs])
+    moments = df.select(F.inline(of_row)).groupBy("i", "j").agg(pair_correlation(F.col("x"), F.col("y")).alias("corr"))
+    both = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    name = F.array(*map(F.lit, names))
+    return moments.select("corr", F.explode(F.array_distinct(both)).alias("p")).select(
+        name[F.col("p.i")].alias("col_a"), name[F.col("p.j")].alias("col_b"), "corr")

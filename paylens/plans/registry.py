@@ -415,6 +415,16 @@ def _(t):
     return _rounded(questions.pearson_test(t.clean), t_stat=6)
 
 
+@query("q_pearson_pairs")
+def _(t):
+    # pairs with hardly any correlation, so that the p-value says something
+    tests = [
+        questions.pearson_test(t.clean, x, y).select(F.lit(x).alias("col_x"), F.lit(y).alias("col_y"), "*")
+        for x, y in (("job_id", "salary_k"), ("company_id", "distance_from_cbd"), ("job_id", "years_experience"))
+    ]
+    return _rounded(tests[0].unionByName(tests[1]).unionByName(tests[2]), t_stat=6)
+
+
 @query("q_education_spearman")
 def _(t):
     return _rounded(questions.spearman(t.clean))

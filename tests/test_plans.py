@@ -26,6 +26,7 @@ def test_transforms_start_no_job(spark, tables):
         cleaning.clean_merge(t.raw_employee, t.raw_salary), features.build_features(t.clean),
         questions.industry_profile(t.clean), questions.spearman(t.clean), splits.split_64_16_20(t.features),
         features.standard_scale(t.features), features.median_impute(t.features, ["years_experience"]),
+        questions.correlation_matrix(t.features), questions.pearson_test(t.clean),
     )) == 0
 
 

@@ -4,7 +4,9 @@ import statistics
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from paylens.functions.special import log_gamma_ratio, student_p
 from paylens.operators import charts, questions
 
 
@@ -27,6 +29,31 @@ def test_spearman_of_a_constant_is_null(spark):
     assert questions.spearman(df, "a", "b", None).first()["spearman_rho"] is None
 
 
+@pytest.mark.parametrize("df, t, p", [
+    # fixed values of Student's distribution, by closed forms for 1, 2 and 3 degrees of freedom
+    (1, 1.0, 0.5), (1, 0.001, 1 - 2 * math.atan(0.001) / math.pi), (2, 3.0, 1 - 3 / math.sqrt(11)), (2, 1e-9, 1 - 1e-9 / math.sqrt(2)),
+    (3, 2.0, 1 - 2 / math.pi * (2 / math.sqrt(3) / (1 + 4 / 3) + math.atan(2 / math.sqrt(3)))), (2, 1e6, 1e-12),
+])
+def test_student_p_has_closed_forms(spark, df, t, p):
+    got = spark.range(1).select(F.lit(float(t)).alias("t"), F.lit(float(df)).alias("df")).select(student_p("t", "df")).first()[0]
+    assert got == pytest.approx(p, rel=1e-9 if p > 1e-6 else 1e-4)
+
+
+def test_student_p_of_many_degrees_is_normal(spark):
+    rows = [(t, df) for t in (0.01, 1.0, 1.96, 4.0) for df in (1e5, 1e7)]
+    out = spark.createDataFrame(rows, "t double, df double").select("t", "df", student_p("t", "df").alias("p")).collect()
+    assert all(r["p"] == pytest.approx(math.erfc(r["t"] / math.sqrt(2)), rel=10 * (1 + r["t"]**4) / r["df"] + 1e-7) for r in out)
+    ratio = spark.createDataFrame([(a,) for a in (0.5, 1.0, 7.25, 1000.0)], "a double").select("a", log_gamma_ratio(F.col("a")).alias("r")).collect()
+    assert all(r["r"] == pytest.approx(math.lgamma(r["a"] + 0.5) - math.lgamma(r["a"]), abs=1e-12) for r in ratio)
+
+
+def test_pearson_of_a_perfect_line_and_of_two_rows(spark):
+    line = questions.pearson_test(spark.createDataFrame([(float(i), 2.0 * i) for i in range(9)], "a double, b double"), "a", "b").first()
+    assert (line["p_value"], line["significant"]) == (0.0, True)
+    two = questions.pearson_test(spark.createDataFrame([(1.0, 2.0), (2.0, 1.0)], "a double, b double"), "a", "b").first()
+    assert two["p_value"] is None and two["significant"] is None
+
+
 def test_pearson_test_agrees_with_t(spark):
     rng = random.Random(5)
     data = [(float(x), 0.02 * x + rng.gauss(0, 1)) for x in range(60)]

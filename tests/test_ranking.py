@@ -22,12 +22,12 @@ def frame(spark):
     return spark.createDataFrame(_sample(), "g string, v double").repartition(7)
 
 
-@pytest.mark.parametrize("buckets", [4, 100, 1024])
-def test_grouped_quantiles_equal_numpy(frame, buckets):
+@pytest.mark.parametrize("rows", [1, 30, 16_384])
+def test_grouped_quantiles_equal_numpy(frame, rows):
     probs = {"p01": 0.01, "q1": 0.25, "q2": 0.5, "p99": 0.99}
     got = {
         r["g"]: r for r in ranking.grouped_quantiles(
-            frame, "v", probs, ["g"], {"rows": F.sum("n"), "low": F.min("v")}, buckets=buckets
+            frame, "v", probs, ["g"], {"rows": F.sum("n"), "low": F.min("v")}, bucket_rows=rows
         ).collect()
     }
     groups = {}
@@ -55,11 +55,12 @@ def test_approximate_quantiles_are_existing_values(frame):
     assert got.where("g = 'hot'").first()["m"] in values
 
 
-@pytest.mark.parametrize("buckets", [9, 1024])
-def test_running_totals_of_text(spark, buckets):
+@pytest.mark.parametrize("rows, fan_in", [(1, 2), (3, 7), (16_384, 4096)])
+def test_running_totals_of_text(spark, rows, fan_in):
     words = sorted({f"w{random.Random(i).randrange(10_000)}" for i in range(500)})
     df = spark.createDataFrame([(w, i % 5) for i, w in enumerate(words)], "w string, k int").repartition(5)
-    got = {r["w"]: (r["before_k"], r["total_k"]) for r in ranking.running_totals(df, "w", ["k"], buckets=buckets).collect()}
+    out = ranking.running_totals(df, "w", ["k"], bucket_rows=rows, fan_in=fan_in)
+    got = {r["w"]: (r["before_k"], r["total_k"]) for r in out.collect()}
     total, before = sum(i % 5 for i in range(len(words))), 0
     for i, w in enumerate(words):
         assert got[w] == (before, total)
@@ -72,22 +73,21 @@ def test_average_ranks_share_ties(spark):
     assert got == {10: 1.5, 20: 3.0, 30: 5.0}
 
 
-def test_buckets_split_a_hot_group(frame):
-    """No bucket holds more than a small part of the hot group's values."""
-    counted = ranking.value_counts_by(frame, "v", ["g"])
-    edges = ranking._bucket_edges(counted, "v", ["g"], ["n"], 100)
-    sizes = (
-        counted.withColumn("_e", edges).withColumn("b", ranking._bucket("v", "_e", ranking._step(100)))
-        .groupBy("g", "b").count().agg(F.max("count")).first()[0]
-    )
-    assert sizes < counted.count() / 8
+def test_buckets_grow_in_number_and_not_in_size(spark):
+    """Ten times the rows of a hot group give ten times the buckets, of the same size."""
+    counts = {}
+    for n in (20_000, 200_000):
+        df = spark.range(n).select(F.when(F.col("id") % 10 == 0, "b").otherwise("hot").alias("g"), F.sqrt("id").alias("v"), F.lit(1).alias("n"))
+        sizes = ranking.with_buckets(df, "v", ["n"], ["g"], 1000).groupBy("g", "_bucket").count()
+        counts[n] = sizes.where("g = 'hot'").agg(F.count("*"), F.max("count")).first()
+    assert counts[20_000][0] > 10 and 6 < counts[200_000][0] / counts[20_000][0] < 15
+    assert counts[200_000][1] < 12_000
 
 
-@pytest.mark.parametrize("buckets", [1, 10, 30, 1024])
-def test_bucket_is_the_number_of_edges_at_or_below(spark, buckets):
+@pytest.mark.parametrize("rows", [1, 7, 100, 10**6])
+def test_bucket_is_the_number_of_edges_at_or_below(spark, rows):
     df = spark.range(0, 2000, 3).select(F.col("id").alias("v"), F.lit(1).alias("n"))
-    edges = ranking._bucket_edges(df, "v", [], ["n"], buckets)
-    step = ranking._step(buckets)
-    got = df.withColumn("_e", edges).select("v", F.col("_e.fine").alias("e"), ranking._bucket("v", "_e", step).alias("b"))
+    edges = ranking._bucket_edges(df, "v", [], ["n"], rows)
+    got = df.withColumn("e", edges).select("v", "e", ranking._bucket("v", "e").alias("b"))
     for r in got.collect():
         assert r["b"] == sum(e <= r["v"] for e in r["e"])
