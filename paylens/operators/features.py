@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,37 +133,54 @@ def clamp_codes(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     })
 
 
-def one_hot_stages(columns: Sequence[str] = CATEGORICAL_FEATURES) -> list:
-    """Indexer and encoder: one slot per level, an unseen level is all zeros."""
-    codes = [f"{c}_code" for c in columns]
-    return [
-        StringIndexer(
-            inputCols=list(columns), outputCols=codes, handleInvalid="keep", stringOrderType="alphabetAsc"
-        ),
-        OneHotEncoder(inputCols=codes, outputCols=[f"{c}_hot" for c in columns], dropLast=True),
-    ]
+class OneHot:
+    """One slot per level of every column, numbered column by column in alphabetical order.
 
+    Labels stay in the distributed dictionaries; only their numbers reach the driver. The vectors are sparse.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES):
+        require(df, *columns)
+        self.indexes = {c: LabelIndex(df, c) for c in columns}
+
+    def transform(self, df: DataFrame, output: str = "one_hot") -> DataFrame:
+        """Add the vector; a null and a level that the fitted table does not have set no slot."""
+        codes, hot = ([f"_{c}_{part}" for c in self.indexes] for part in ("code", "hot"))
+        for (c, index), code in zip(self.indexes.items(), codes):
+            df = index.transform(df, unseen=index.size, output=code)
+        # the encoder learns the number of codes from one row; the last code, that of unseen levels, has no slot
+        sizes = df.sparkSession.range(1).select(*[F.lit(i.size).alias(code) for i, code in zip(self.indexes.values(), codes)])
+        encoder = OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=True).fit(sizes)
+        return VectorAssembler(inputCols=hot, outputCol=output).transform(encoder.transform(df)).drop(*codes, *hot)
+
+    def slots(self) -> DataFrame:
+        """(slot, column_name, level) of every slot."""
+        out, start = None, 0
+        for c, index in self.indexes.items():
+            part = index.table.select((F.col("code") + start).alias("slot"), F.lit(c).alias("column_name"), F.col("label").alias("level"))
+            out, start = part if out is None else out.unionByName(part), start + index.size
+        return out
 
-def one_hot(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> tuple[DataFrame, list[str]]:
-    """One vector column of all levels, and the names of its slots (``column_level``)."""
-    require(df, *columns)
-    model = Pipeline(stages=[
-        *one_hot_stages(columns),
-        VectorAssembler(inputCols=[f"{c}_hot" for c in columns], outputCol="one_hot"),
-    ]).fit(df)
-    names = [f"{c}_{label}" for c, labels in zip(columns, model.stages[0].labelsArray) for label in labels]
-    return model.transform(df).drop(*[f"{c}_{s}" for c in columns for s in ("code", "hot")]), names
+
+def slots_set(vector: str) -> Column:
+    """Numbers of the slots of a vector that are not zero, whether it is stored sparsely or densely."""
+    v = F.unwrap_udt(vector)
+    places = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    held = F.filter(F.arrays_zip(places.alias("slot"), v["values"].alias("value")), lambda x: x["value"] != 0)
+    return F.when(F.size(v["values"]) > 0, F.transform(held, lambda x: x["slot"])).otherwise(F.array().cast("array<int>"))
+
+
+def one_hot(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> tuple[DataFrame, DataFrame]:
+    """One sparse vector column of all levels, and the table of its slots with their names (``column_level``)."""
+    fitted = OneHot(df, columns)
+    return fitted.transform(df), fitted.slots().select("slot", F.concat_ws("_", "column_name", "level").alias("feature_name"))
 
 
 def one_hot_totals(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
-    """Name of every one-hot slot with the number of rows that set it."""
-    require(df, *columns)
-    return (
-        df.select(*columns).unpivot([], list(columns), "column_name", "level")
-        .where(F.col("level").isNotNull())
-        .groupBy(F.concat_ws("_", "column_name", "level").alias("feature_name"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Name of every one-hot slot with the number of vectors that set it."""
+    encoded, names = one_hot(df, columns)
+    counts = encoded.select(F.explode(slots_set("one_hot")).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
+    return names.join(counts, "slot").select("feature_name", "n")
 
 
 def numeric_feature_columns(

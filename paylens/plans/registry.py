@@ -7,7 +7,6 @@ from functools import cache
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -593,8 +592,8 @@ def _(t):
 def _(t):
     # the names of the slots that are set, row by row
     encoded, names = features.one_hot(t.features)
-    named = F.transform(vector_to_array("one_hot"), lambda v, i: F.when(v == 1, F.get(F.array(*map(F.lit, names)), i)))
-    return encoded.select("job_id", F.explode(F.array_compact(named)).alias("feature_name"))
+    slots = encoded.select("job_id", F.explode(features.slots_set("one_hot")).alias("slot"))
+    return slots.join(names, "slot").select("job_id", "feature_name")
 
 
 @query("cast_numeric_features")

@@ -47,15 +47,29 @@ def test_one_hot_rows_sum_to_one_per_column(tables):
     from pyspark.ml.functions import vector_to_array
     sums = encoded.select(F.aggregate(vector_to_array("one_hot"), F.lit(0.0), lambda a, x: a + x).alias("s"))
     assert {r["s"] for r in sums.distinct().collect()} == {2.0}
-    assert len(names) == len(set(names)) and names[0].startswith("edu_major_")
-
-
-def test_unseen_level_is_all_zeros(spark):
-    from pyspark.ml import Pipeline
-    train = spark.createDataFrame([("a",), ("b",)], "t string")
-    model = Pipeline(stages=features.one_hot_stages(["t"])).fit(train)
-    got = model.transform(spark.createDataFrame([("zzz",)], "t string")).first()["t_hot"]
-    assert got.size == 2 and got.toArray().sum() == 0
+    named = [r["feature_name"] for r in names.orderBy("slot").collect()]
+    levels = {f"{c}_{r[0]}" for c in ("edu_major", "industry_role") for r in tables.features.select(c).distinct().collect()}
+    assert [r["slot"] for r in names.orderBy("slot").collect()] == list(range(len(levels))) and set(named) == levels
+    both = [sorted(n for n in named if n.startswith(c)) for c in ("edu_major", "industry_role")]
+    assert named == both[0] + both[1]
+
+
+def test_unseen_and_null_levels_are_all_zeros(spark):
+    train = spark.createDataFrame([("a",), ("b",), (None,)], "t string")
+    fitted = features.OneHot(train, ["t"])
+    got = fitted.transform(spark.createDataFrame([(1, "zzz"), (2, None), (3, "b")], "id int, t string"))
+    assert {r["id"]: r["one_hot"].toArray().tolist() for r in got.collect()} == {1: [0, 0], 2: [0, 0], 3: [0, 1]}
+    assert {r["id"]: r["s"] for r in got.select("id", features.slots_set("one_hot").alias("s")).collect()} == {1: [], 2: [], 3: [1]}
+    assert got.columns == ["id", "t", "one_hot"]
+
+
+def test_one_hot_vectors_stay_sparse_and_labels_distributed(spark):
+    df = spark.range(3000).select("id", F.concat(F.lit("l"), F.col("id") % 1500).alias("t"), F.lit("x").alias("u"))
+    encoded, names = features.one_hot(df, ["t", "u"])
+    assert encoded.where(F.unwrap_udt("one_hot")["type"] != 0).count() == 0 and names.count() == 1501
+    totals = {r["feature_name"]: r["n"] for r in features.one_hot_totals(df, ["t", "u"]).collect()}
+    assert totals["u_x"] == 3000 and totals["t_l7"] == 2 and len(totals) == 1501
+    assert features.one_hot_totals(df.where("false"), ["t"]).collect() == []
 
 
 def test_median_impute_all_null_is_zero(spark):
