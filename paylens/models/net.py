@@ -10,8 +10,10 @@ shards follows the rows alone; with one shard this is ordinary mini-batch traini
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from dataclasses import asdict, dataclass, replace
+import hashlib
+import json
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import asdict, dataclass, field, replace
 from itertools import chain
 
 import numpy as np
@@ -33,6 +35,7 @@ from paylens.operators.features import (
 from paylens.operators.splits import split_with_fallback
 from paylens.schemas import FineTuneParams, NetParams
 from paylens.session import checkpoint, stage_table
+from paylens.sources import writers
 
 # executors need not have the package: its few array functions travel with the tasks
 cloudpickle.register_pickle_by_value(net_math)
@@ -108,8 +111,8 @@ def prepare(
     )
 
 
-def _average(shard_rows: DataFrame, shards: int) -> dict:
-    """Row-weighted mean of the shards' states, in a tree: no task reads more than ``FAN_IN`` of them."""
+def _average(shard_rows: DataFrame, shards: int) -> dict[int, dict]:
+    """Row-weighted mean of the shards' states, run by run, in a tree: no task reads more than ``FAN_IN`` of them."""
     def mean(df: DataFrame, *by: str) -> DataFrame:
         return df.groupBy(*by).agg(
             Summarizer.mean(F.col("state"), F.col("n")).alias("state"),
@@ -118,17 +121,18 @@ def _average(shard_rows: DataFrame, shards: int) -> dict:
 
     level = shard_rows.withColumn("state", array_to_vector("state")).withColumnRenamed("shard", "part")
     while shards > FAN_IN:
-        level = mean(level.withColumn("part", F.floor(F.col("part") / FAN_IN)), "part")
+        level = mean(level.withColumn("part", F.floor(F.col("part") / FAN_IN)), "run", "part")
         shards = -(-shards // FAN_IN)
-    return mean(level).withColumn("state", vector_to_array("state")).first().asDict()
+    return {r["run"]: r.asDict() for r in mean(level, "run").withColumn("state", vector_to_array("state")).collect()}
 
 
-def _train_epoch(prepared: Prepared, state: np.ndarray, steps: int, epoch: int, params: NetParams) -> dict:
-    """One pass of every shard over its rows, and the average of the results."""
+def _train_epoch(prepared: Prepared, runs: Mapping[int, Progress], epoch: int) -> dict[int, dict]:
+    """One pass of every shard over its rows for every run, and the averages of the results: one job."""
     # plain values only: what the function refers to is sent to the executors
-    layout, seed, size = prepared.layout, params.random_state, params.batch_size
-    lr, weight_decay, max_norm = params.lr, params.weight_decay, params.max_norm
-    shared = prepared.train.sparkSession.sparkContext.broadcast(state)
+    layout = prepared.layout
+    settings = [(k, r.params.random_state, r.params.batch_size, r.lr, r.params.weight_decay, r.params.max_norm, r.steps)
+                for k, r in runs.items()]
+    shared = prepared.train.sparkSession.sparkContext.broadcast({k: r.state for k, r in runs.items()})
 
     def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = next(chunks, None)
@@ -137,45 +141,46 @@ def _train_epoch(prepared: Prepared, state: np.ndarray, steps: int, epoch: int,
         if first is None:
             return
         shard = int(first["shard"].iloc[0])
+        # a shard has a bounded number of rows; every run passes over them
+        arrays = [inputs(pdf, layout) for pdf in chain([first], chunks)]
+        for k, seed, size, lr, weight_decay, max_norm, done in settings:
+            local, rows, loss = shared.value[k].astype(np.float32), 0, 0.0
+            for batch in minibatches(arrays, size, np.random.default_rng([seed, epoch, shard])):
+                grad, error = gradient(local[0], *batch, layout)
+                done += 1
+                adamw_step(local, done, grad, lr, weight_decay, max_norm)
+                rows += len(batch[0])
+                loss += error * len(batch[0])
+            yield pd.DataFrame({
+                "run": [k], "shard": [shard], "state": [local.astype(float).ravel()], "steps": [done], "loss": [loss],
+                "n": [float(rows)],
+            })
 
-        arrays = (inputs(pdf, layout) for pdf in chain([first], chunks))
-        local, done, rows, loss = shared.value.astype(np.float32), steps, 0, 0.0
-        for batch in minibatches(arrays, size, np.random.default_rng([seed, epoch, shard])):
-            grad, error = gradient(local[0], *batch, layout)
-            done += 1
-            adamw_step(local, done, grad, lr, weight_decay, max_norm)
-            rows += len(batch[0])
-            loss += error * len(batch[0])
-        yield pd.DataFrame({
-            "shard": [shard], "state": [local.astype(float).ravel()], "steps": [done], "loss": [loss],
-            "n": [float(rows)],
-        })
-
-    shard_rows = prepared.train.mapInPandas(run, "shard int, state array<double>, steps bigint, loss double, n double")
+    shard_rows = prepared.train.mapInPandas(run, "run int, shard int, state array<double>, steps bigint, loss double, n double")
     result = _average(shard_rows, prepared.shards)
     shared.destroy()
     return result
 
 
-def _valid_loss(prepared: Prepared, weights: np.ndarray) -> float:
-    """Mean squared error on the validation rows, summed up where they lie."""
+def _valid_losses(prepared: Prepared, weights: Mapping[int, np.ndarray]) -> dict[int, float]:
+    """Mean squared error of every run on the validation rows, summed up where they lie: one job."""
     layout = prepared.layout
-    shared = prepared.valid.sparkSession.sparkContext.broadcast(weights)
+    shared = prepared.valid.sparkSession.sparkContext.broadcast(dict(weights))
 
     def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w = layout.arrays(shared.value)
         for pdf in chunks:
             numbers, codes, y = inputs(pdf, layout)
-            error = forward(w, numbers, codes, layout)[0] - y
-            error = error[np.isfinite(error)]
-            yield pd.DataFrame({"loss": [float(error @ error)], "n": [len(error)]})
+            for k, flat in shared.value.items():
+                error = forward(layout.arrays(flat), numbers, codes, layout)[0] - y
+                error = error[np.isfinite(error)]
+                yield pd.DataFrame({"run": [k], "loss": [float(error @ error)], "n": [len(error)]})
 
     columns = [*layout.numbers, *layout.categories, "y_scaled"]
-    total = prepared.valid.select(*columns).mapInPandas(run, "loss double, n bigint").agg(
+    totals = prepared.valid.select(*columns).mapInPandas(run, "run int, loss double, n bigint").groupBy("run").agg(
         F.sum("loss").alias("loss"), F.sum("n").alias("n")
-    ).first()
+    ).collect()
     shared.destroy()
-    return float(total["loss"] / total["n"]) if total["n"] else float("nan")
+    return {k: float("nan") for k in weights} | {r["run"]: float(r["loss"] / r["n"]) for r in totals if r["n"]}
 
 
 def predict(prepared: Prepared, weights: np.ndarray, df: DataFrame | None = None) -> DataFrame:
@@ -252,59 +257,135 @@ def load_weights(table: DataFrame, layout: Layout) -> np.ndarray:
     return np.concatenate([np.asarray(stored[name]["content"], float) for name in layout.shapes()])
 
 
-def fit(prepared: Prepared, params: NetParams = NetParams(), initial: np.ndarray | None = None) -> NetResult:
-    """Train with early stopping on the validation loss and keep a copy of the best weights.
+@dataclass
+class Progress:
+    """Where a run stands between two epochs; all that the next epoch depends on."""
 
-    The learning rate is multiplied by ``lr_factor`` after more than
-    ``lr_patience`` epochs without a relative gain of 1e-4.
-    """
-    start = prepared.layout.start(params.random_state) if initial is None else np.array(initial, float)
-    state = np.vstack([start, np.zeros_like(start), np.zeros_like(start)])
-    best, best_loss, waited, steps = start.copy(), float("inf"), 0, 0
-    plateau, flat_epochs, lr = float("inf"), 0, params.lr
-    losses = []
-    for epoch in range(1, params.epochs + 1):
-        result = _train_epoch(prepared, state, steps, epoch, replace(params, lr=lr))
-        state = np.asarray(result["state"]).reshape(state.shape)
-        steps = result["steps"]
-        valid = _valid_loss(prepared, state[0])
-        losses.append((epoch, float(result["loss"] / result["n"]), valid))
-        if valid < plateau * (1 - 1e-4):
-            plateau, flat_epochs = valid, 0
+    params: NetParams
+    state: np.ndarray
+    best: np.ndarray
+    best_loss: float = float("inf")
+    waited: int = 0
+    steps: int = 0
+    plateau: float = float("inf")
+    flat_epochs: int = 0
+    lr: float = 0.0
+    losses: list[tuple[int, float, float]] = field(default_factory=list)
+    stopped: bool = False
+
+    @classmethod
+    def start(cls, params: NetParams, weights: np.ndarray) -> Progress:
+        weights = np.array(weights, float)
+        return cls(params, np.vstack([weights, np.zeros_like(weights), np.zeros_like(weights)]), weights.copy(), lr=params.lr)
+
+    def trained(self, result: dict) -> None:
+        self.state, self.steps = np.asarray(result["state"]).reshape(self.state.shape), result["steps"]
+
+    def validated(self, epoch: int, train_loss: float, valid: float) -> None:
+        """Early stopping, and the learning rate times ``lr_factor`` after ``lr_patience`` epochs without a relative gain of 1e-4."""
+        self.losses.append((epoch, train_loss, valid))
+        if valid < self.plateau * (1 - 1e-4):
+            self.plateau, self.flat_epochs = valid, 0
         else:
-            flat_epochs += 1
-            if flat_epochs > params.lr_patience:
-                lr, flat_epochs = lr * params.lr_factor, 0
-        if valid < best_loss:
-            best, best_loss, waited = state[0].copy(), valid, 0
+            self.flat_epochs += 1
+            if self.flat_epochs > self.params.lr_patience:
+                self.lr, self.flat_epochs = self.lr * self.params.lr_factor, 0
+        if valid < self.best_loss:
+            self.best, self.best_loss, self.waited = self.state[0].copy(), valid, 0
         else:
-            waited += 1
-            if waited >= params.patience:
-                break
-    return NetResult(best, best_loss, losses, params, prepared)
+            self.waited += 1
+            self.stopped = self.waited >= self.params.patience
+
+    def packed(self) -> tuple:
+        plain = {f: getattr(self, f) for f in _PLAIN}
+        return self.state.ravel().tolist(), self.best.tolist(), json.dumps(plain)
+
+    def restore(self, row) -> None:
+        self.state, self.best = np.array(row["state"]).reshape(self.state.shape), np.array(row["best"])
+        for name, value in json.loads(row["plain"]).items():
+            setattr(self, name, [tuple(x) for x in value] if name == "losses" else value)
 
 
-def embedding_regressor(features: DataFrame, params: NetParams = NetParams(), **columns) -> NetResult:
-    """Prepare the features and train from random weights."""
-    return fit(prepare(features, params, **columns), params)
+_PLAIN = ("best_loss", "waited", "steps", "plateau", "flat_epochs", "lr", "losses", "stopped")
+
+
+def _progress_folder(path: str, prepared: Prepared, runs: list[Progress]) -> str:
+    """A folder named after all that decides the course of the runs; the number of epochs does not."""
+    told = [repr(replace(r.params, epochs=0)) for r in runs] + [repr((prepared.layout, prepared.y_min, prepared.y_max, prepared.shards))]
+    digest = hashlib.sha256("\n".join(told).encode())
+    for r in runs:
+        digest.update(r.state.tobytes())
+    return f"{path}/{digest.hexdigest()[:24]}"
+
+
+def _stored(spark: SparkSession, path: str) -> bool:
+    """Was the table written to its end?"""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def fit_all(
+    prepared: Prepared, params: Sequence[NetParams], initial: np.ndarray | None = None, progress: str | None = None
+) -> list[NetResult]:
+    """Train one network per setting with early stopping on the validation loss, and keep a copy of the best weights of each.
+
+    An epoch is two jobs, however many settings there are. With ``progress``, a folder, every epoch's end is written there, and
+    a later call with the same rows and settings goes on after the last one that was written.
+    """
+    start = prepared.layout.start(params[0].random_state) if initial is None else initial
+    runs = [Progress.start(p, start) for p in params]
+    spark = prepared.train.sparkSession
+    folder = progress and _progress_folder(progress, prepared, runs)
+    epoch = 0
+    while folder and epoch < max(p.epochs for p in params) and _stored(spark, f"{folder}/epoch{epoch + 1}"):
+        epoch += 1
+    if epoch:
+        for row in spark.read.parquet(f"{folder}/epoch{epoch}").collect():
+            runs[row["run"]].restore(row)
+    while live := {k: r for k, r in enumerate(runs) if not r.stopped and epoch < r.params.epochs}:
+        epoch += 1
+        results = _train_epoch(prepared, live, epoch)
+        for k, r in live.items():
+            r.trained(results[k])
+        valid = _valid_losses(prepared, {k: r.state[0] for k, r in live.items()})
+        for k, r in live.items():
+            r.validated(epoch, float(results[k]["loss"] / results[k]["n"]), valid[k])
+        if folder:
+            rows = [(k, *r.packed()) for k, r in enumerate(runs)]
+            table = spark.createDataFrame(rows, "run int, state array<double>, best array<double>, plain string")
+            writers.write_parquet(table, f"{folder}/epoch{epoch}")
+    return [NetResult(r.best, r.best_loss, r.losses, r.params, prepared) for r in runs]
+
+
+def fit(
+    prepared: Prepared, params: NetParams = NetParams(), initial: np.ndarray | None = None, progress: str | None = None
+) -> NetResult:
+    """``fit_all`` with one setting."""
+    return fit_all(prepared, [params], initial, progress)[0]
+
+
+def embedding_regressor(features: DataFrame, params: NetParams = NetParams(), progress: str | None = None, **columns) -> NetResult:
+    """Prepare the features and train from random weights; ``progress`` as in ``fit_all``."""
+    return fit(prepare(features, params, **columns), params, progress=progress)
 
 
 def finetune_grid(
-    base: NetResult, tuning: FineTuneParams = FineTuneParams(), settings: Sequence[dict] | None = None
+    base: NetResult, tuning: FineTuneParams = FineTuneParams(), settings: Sequence[dict] | None = None, progress: str | None = None
 ) -> tuple[NetResult, DataFrame]:
-    """Short runs from the base weights, one per setting; the lowest validation loss wins.
+    """Short runs from the base weights, one per setting and all in the same jobs; the lowest validation loss wins.
 
     Returns the best run and a table of all settings with their losses.
     """
-    runs = []
-    for chosen in settings or tuning.grid:
-        params = replace(
+    params = [
+        replace(
             base.params, epochs=tuning.epochs, patience=tuning.patience,
             lr_patience=max(1, tuning.patience // 2),
             lr=chosen.get("lr", 1e-3), batch_size=chosen.get("batch_size", 256),
             weight_decay=chosen.get("weight_decay", 0.0),
         )
-        runs.append(fit(base.prepared, params, base.weights))
+        for chosen in settings or tuning.grid
+    ]
+    runs = fit_all(base.prepared, params, base.weights, progress)
     table = base.prepared.test.sparkSession.createDataFrame(
         [(r.params.lr, r.params.batch_size, r.params.weight_decay, r.best_loss) for r in runs],
         "lr double, batch_size int, weight_decay double, val_loss double",

@@ -528,6 +528,7 @@ FROM parts, (SELECT CAST(min(salary_k) AS DOUBLE) AS lo, CAST(max(salary_k) AS D
     **_model_checks("linear_regression_onehot", "parts", "finite"),
     **_model_checks("random_forest_onehot", "parts", "in_range"),
     **_model_checks("embedding_regressor", "parts", "finite", "= 'test'"),
+    **{f"{key}_replay": "SELECT job_id, TRUE AS replayed FROM parts WHERE split = 'test'" for key in ("embedding_regressor", "finetune_grid")},
     **_model_checks("finetune_grid", "parts", "finite", "= 'test'"),
     "model_comparison": f'''SELECT model, split, rmse, mae, r2 FROM ({_metrics("(" + _union([_line_pred("years_experience"), _line_pred("distance_from_cbd")]) + ")", "model, split", 4)})''',
 }

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.functions.columns import as_double, hash_bucket
-from paylens.models import evaluation, net, regressors
+from paylens.models import evaluation, net, net_replay, regressors
 from paylens.operators import charts, cleaning, features, profiling, quality, questions, splits
 from paylens.plans.tables import Tables, tables
 from paylens.schemas import NUMERIC_FEATURES, SCORE_COLUMNS
@@ -753,6 +753,19 @@ def _checks(key: str, predictions: Callable[[Tables], DataFrame], split: Callabl
     query(f"{key}_beats_line")(beats_line)
 
 
+def _replayed(key: str, result: Callable[[Tables], net.NetResult]):
+    """Does the forward pass in SQL functions, over the stored weights, give each row the prediction that the tasks gave it?"""
+    def same(t: Tables) -> DataFrame:
+        again = net_replay.replay(result(t)).withColumnRenamed("y_pred", "again")
+        # the tasks read their inputs with 32 bits
+        return result(t).predictions().join(again, "job_id").select("job_id", (F.abs(F.col("y_pred") - F.col("again")) < 0.01).alias("replayed"))
+
+    query(f"{key}_replay")(same)
+
+
+_replayed("embedding_regressor", _net)
+_replayed("finetune_grid", lambda t: _tuned(t)[0])
+
 _checks("random_forest", lambda t: _forest(t).predictions, splits.split_70_15_15, True)
 _checks("linear_regression_onehot", lambda t: _linear_onehot(t).predictions, splits.split_64_16_20, False)
 _checks("random_forest_onehot", lambda t: _forest_onehot(t).predictions, splits.split_64_16_20, True)

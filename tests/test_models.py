@@ -163,7 +163,7 @@ def test_minibatches_keep_every_row():
 def test_training_lowers_the_loss_and_keeps_the_best(base):
     losses = [v for _, _, v in base.losses]
     assert losses[-1] < losses[0] and base.best_loss == min(losses)
-    assert net._valid_loss(base.prepared, base.weights) == pytest.approx(base.best_loss, rel=1e-9)
+    assert net._valid_losses(base.prepared, {0: base.weights})[0] == pytest.approx(base.best_loss, rel=1e-9)
     metrics = base.metrics().first()
     assert metrics["split"] == "test" and metrics["r2"] > 0.4
     assert base.predictions().columns == ["job_id", "y_true", "y_pred", "split"]
@@ -186,11 +186,50 @@ def test_shards_are_averaged(tables, base, per_shard):
 
 def test_average_in_two_levels_equals_the_weighted_mean(spark):
     rng = np.random.default_rng(2)
-    data = [(i, rng.normal(size=3).tolist(), 5, 1.0, float(i + 1)) for i in range(40)]
-    df = spark.createDataFrame(data, "shard int, state array<double>, steps bigint, loss double, n double")
-    got = net._average(df, 40)
-    expected = np.average([d[1] for d in data], axis=0, weights=[d[4] for d in data])
-    assert got["state"] == pytest.approx(expected.tolist()) and got["n"] == sum(d[4] for d in data)
+    data = [(k, i, rng.normal(size=3).tolist(), 5, 1.0, float(i + 1)) for k in (0, 3) for i in range(40)]
+    df = spark.createDataFrame(data, "run int, shard int, state array<double>, steps bigint, loss double, n double")
+    averaged = net._average(df, 40)
+    for k in (0, 3):
+        got, mine = averaged[k], [d for d in data if d[0] == k]
+        expected = np.average([d[2] for d in mine], axis=0, weights=[d[5] for d in mine])
+        assert got["state"] == pytest.approx(expected.tolist()) and got["n"] == sum(d[5] for d in mine)
+
+
+def test_settings_trained_together_equal_those_trained_alone(spark, base):
+    params = [replace(base.params, epochs=3, lr=lr, batch_size=size, patience=1) for lr, size in ((1e-3, 32), (5e-2, 64))]
+    together = net.fit_all(base.prepared, params, base.weights)
+    for p, run in zip(params, together):
+        alone = net.fit(base.prepared, p, base.weights)
+        assert run.weights == pytest.approx(alone.weights, abs=1e-9) and len(run.losses) == len(alone.losses)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = []
+    for n in (1, 4):
+        before = len(tracker.getJobIdsForGroup(None))
+        net.fit_all(base.prepared, [replace(base.params, epochs=1, lr=1e-3 / (i + 1)) for i in range(n)], base.weights)
+        jobs.append(len(tracker.getJobIdsForGroup(None)) - before)
+    assert jobs[0] == jobs[1]
+
+
+def test_a_stopped_run_goes_on_where_it_ended(base, tmp_path, monkeypatch):
+    params = replace(base.params, epochs=4)
+    unbroken = net.fit(base.prepared, params)
+    net.fit(base.prepared, replace(params, epochs=2), progress=str(tmp_path))
+    trained = []
+    real = net._train_epoch
+    monkeypatch.setattr(net, "_train_epoch", lambda prepared, runs, epoch: trained.append(epoch) or real(prepared, runs, epoch))
+    resumed = net.fit(base.prepared, params, progress=str(tmp_path))
+    assert trained == [3, 4] and len(resumed.losses) == 4
+    assert resumed.weights == pytest.approx(unbroken.weights, abs=1e-9) and resumed.best_loss == pytest.approx(unbroken.best_loss)
+    net.fit(base.prepared, replace(params, lr=1e-4), progress=str(tmp_path))
+    assert trained == [3, 4, 1, 2, 3, 4]  # other settings start anew
+    assert net.fit(base.prepared, params, progress=str(tmp_path)).losses == resumed.losses and len(trained) == 6
+
+
+def test_predictions_are_replayed_in_sql_functions(base):
+    from paylens.models.net_replay import replay
+    got = {r["job_id"]: r["y_pred"] for r in replay(base).collect()}
+    want = {r["job_id"]: r["y_pred"] for r in base.predictions().collect()}
+    assert got == pytest.approx(want, abs=1e-3)
 
 
 def test_fine_tuning_picks_the_lowest_loss(base):
