@@ -20,18 +20,26 @@ def _dense(x: Column, weight: Column, bias: Column, relu: bool) -> Column:
     return F.transform(bias, unit)
 
 
+def _once(df: DataFrame, value: Column) -> DataFrame:
+    """``df`` with the array as ``_x``. Exploding it keeps the optimizer from computing it anew in every unit of the next layer."""
+    kept = [c for c in df.columns if c != "_x"]
+    return df.select(*kept, F.explode(F.array(value)).alias("_x"))
+
+
 def replay(result: NetResult, rows: DataFrame | None = None) -> DataFrame:
     """(id, y_pred) of the test rows, or of other prepared rows, from ``weights_table`` alone."""
     layout, id_col = result.prepared.layout, result.prepared.id_col
     rows = result.prepared.test if rows is None else rows
     stored = result.weights_table().agg(F.map_from_entries(F.collect_list(F.struct("name", "content")))).scalar()
-    w = lambda name: F.col("_w")[name]
     inputs = [F.array(*[F.col(c).cast("double") for c in layout.numbers])]
+    arrays = {name: f"_{name}" for name in layout.shapes()}
     for c, card in zip(layout.categories, layout.cards):
-        width = (F.size(w(f"embedding_{c}")) / card).cast("int")
-        inputs.append(F.slice(w(f"embedding_{c}"), F.col(c).cast("int") * width + 1, width))
-    out = rows.withColumn("_w", stored).withColumn("_x", F.concat(*inputs))
+        table = F.col(arrays[f"embedding_{c}"])
+        width = (F.size(table) / card).cast("int")
+        inputs.append(F.slice(table, F.col(c).cast("int") * width + 1, width))
+    out = rows.withColumn("_w", stored).withColumns({column: F.col("_w")[name] for name, column in arrays.items()})
+    out = _once(out.drop("_w"), F.concat(*inputs))
     for layer, relu in ((1, True), (2, True), (3, False)):
-        out = out.withColumn("_x", _dense(F.col("_x"), w(f"weight_{layer}"), w(f"bias_{layer}"), relu))
+        out = _once(out, _dense(F.col("_x"), F.col(arrays[f"weight_{layer}"]), F.col(arrays[f"bias_{layer}"]), relu))
     low, span = result.prepared.y_min, (result.prepared.y_max - result.prepared.y_min) or 1e-12
     return out.select(id_col, (F.col("_x")[0] * span + low).alias("y_pred"))

@@ -757,8 +757,7 @@ def _replayed(key: str, result: Callable[[Tables], net.NetResult]):
     """Does the forward pass in SQL functions, over the stored weights, give each row the prediction that the tasks gave it?"""
     def same(t: Tables) -> DataFrame:
         again = net_replay.replay(result(t)).withColumnRenamed("y_pred", "again")
-        # the tasks read their inputs with 32 bits
-        return result(t).predictions().join(again, "job_id").select("job_id", (F.abs(F.col("y_pred") - F.col("again")) < 0.01).alias("replayed"))
+        return result(t).predictions().join(again, "job_id").select("job_id", (F.abs(F.col("y_pred") - F.col("again")) < 1e-6).alias("replayed"))
 
     query(f"{key}_replay")(same)
 
