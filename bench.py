@@ -100,6 +100,7 @@ def main() -> None:
     timed("regression_metrics", lambda: evaluation.regression_metrics(predictions).collect())
     timed("linear_regression", lambda: regressors.linear_regression(rows).metrics().collect())
     timed("random_forest", lambda: regressors.random_forest(rows).metrics().collect())
+    timed("random_forest_onehot", lambda: regressors.random_forest_onehot(rows).metrics().collect())
     timed("linear_regression_onehot", lambda: regressors.linear_regression_onehot(rows).metrics().collect())
 
     def train():
