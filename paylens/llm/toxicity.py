@@ -7,13 +7,17 @@ set of them. The score is the logistic of
 
 so two terms that are harmless alone can weigh together: the pair term is learned, which no additive weight can express.
 
-Training takes a bounded sample of labelled rows (``SAMPLE``, the first by a hash of the id) in one task. Terms in at least
+Training takes a bounded sample of labelled ids (``SAMPLE``, the first by a hash of the id) in one task; rows that repeat an id are
+reduced to one before they meet there. Terms in at least
 ``MIN_DOCS`` of them whose rate of toxic texts differs from the common one by more than chance (a likelihood ratio)
-get a weight and factors, which are fitted together. The model therefore has at most SAMPLE * terms / MIN_DOCS entries,
+get a weight and factors, which are fitted together. So do terms without evidence of their own that meet in a *pair* which is toxic
+more often than additive weights of both let expect; all pairs of terms in at least ``PAIR_DOCS`` toxic texts are counted, in
+blocks of columns, and the ratio they need grows with their number. The model therefore has at most SAMPLE * terms / MIN_DOCS entries,
 in practice some hundred, and is checked against ``MAX_TERMS`` before it is sent to the tasks. Scoring reads every whole text, without a shuffle.
 
 Null and empty texts have no terms: their score is that of w_0. Repeated rows are each scored. Labels other than 0 and 1, null ids and
-labels without a document are not learned from; with none of either kind the score is their rate. Only doc_id, text and toxic are read.
+labels without a document are not learned from; with none of either kind the score is their rate. An id with several labels is toxic if
+one is; of its different texts one is learned from, the same in any layout. Only doc_id, text and toxic are read.
 """
 
 from __future__ import annotations
@@ -33,6 +37,9 @@ SAMPLE = 8000
 MIN_DOCS = 5
 #: Twice the log-likelihood ratio that a term needs; chance gives so much to one term in a hundred thousand.
 EVIDENCE = 20.0
+#: Toxic texts that must hold a term before its pairs are counted, and columns of a block of counts.
+PAIR_DOCS = 20
+PAIR_BLOCK = 1024
 MAX_TERMS = 1_000_000
 FACTORS = 4
 THRESHOLD = 0.3
@@ -91,7 +98,11 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, min_docs: int = MIN_DOCS, f
     names, counts = np.unique(np.concatenate(texts), return_counts=True)
     names = names[counts >= min_docs]
     rows, cols = _entries(texts, names)
-    names = names[_evidence(np.bincount(cols, labels[rows], len(names)), np.bincount(cols, minlength=len(names)), rate) >= evidence]
+    toxic, count = np.bincount(cols, labels[rows], len(names)), np.bincount(cols, minlength=len(names))
+    often = toxic >= PAIR_DOCS
+    paired = np.zeros(len(names), bool)
+    paired[often] = _pair_evidence(rows, (np.cumsum(often) - 1)[cols], often[cols], labels, toxic[often], count[often], rate, evidence)
+    names = names[(_evidence(toxic, count, rate) >= evidence) | paired]
     if not len(names):
         return empty
     rows, cols = _entries(texts, names)
@@ -112,12 +123,52 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, min_docs: int = MIN_DOCS, f
     return Model(b, names, w, v)
 
 
-def _evidence(toxic: np.ndarray, n: np.ndarray, rate: float) -> np.ndarray:
-    """Log-likelihood ratio of each term's own rate of toxic texts against the common one."""
+def _evidence(toxic: np.ndarray, n: np.ndarray, rate: float | np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of each one's own rate of toxic texts against the given one."""
     part = lambda k, p: np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / (n * p)), 0)
     return 2 * (part(toxic, rate) + part(n - toxic, 1 - rate))
 
 
+def _pair_evidence(rows: np.ndarray, cols: np.ndarray, used: np.ndarray, labels: np.ndarray, toxic: np.ndarray, count: np.ndarray,
+                   rate: float, evidence: float) -> np.ndarray:
+    """Whether each term has a pair whose texts are toxic more often than both terms together let expect when their odds multiply, as they
+    do under additive weights; a term below the common rate counts as that.
+
+    ``toxic`` and ``count`` are of the terms that ``cols`` numbers where ``used``. Of n terms there are (n - 1) / 2 times as many pairs, so
+    a pair needs twice the logarithm of that more evidence, and chance gives as many pairs as terms. Two blocks of columns are dense at a time.
+    """
+    n = len(count)
+    found = np.zeros(n, bool)
+    order = np.argsort(cols[used], kind="stable")
+    rows, cols = rows[used][order], cols[used][order]
+    needed = evidence + 2 * np.log(max((n - 1) / 2, 1.0))
+    own = np.maximum(toxic / np.maximum(count, 1), rate)
+    edges = [*range(0, n, PAIR_BLOCK), n]
+
+    def block(i: int) -> np.ndarray:
+        part = slice(*np.searchsorted(cols, edges[i:i + 2]))
+        dense = np.zeros((len(labels), edges[i + 1] - edges[i]), np.float32)
+        dense[rows[part], cols[part] - edges[i]] = 1
+        return dense
+
+    of_toxic = labels > 0
+    for i in range(len(edges) - 1):
+        left = block(i)
+        for j in range(i, len(edges) - 1):
+            right = left if i == j else block(j)
+            k = left[of_toxic].T @ right[of_toxic]
+            a, b = np.nonzero(k >= needed / (-2 * np.log(rate)))  # fewer are no evidence, even if all are toxic
+            if not len(a):
+                continue
+            k, both = k[a, b].astype(np.float64), (left.T @ right)[a, b].astype(np.float64)
+            a, b = a + edges[i], b + edges[j]
+            odds = own[a] / (1 - own[a] + 1e-9) * own[b] / (1 - own[b] + 1e-9) * (1 - rate) / rate
+            expected = np.minimum(odds / (1 + odds), 1 - 1e-9)
+            good = (a != b) & (k > expected * both) & (_evidence(k, both, expected) >= needed)
+            found[a[good]] = found[b[good]] = True
+    return found
+
+
 def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -146,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "terms": [terms(t).tobytes() for t in texts_of(batch, "text")]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [terms(t).tobytes() for t in texts_of(batch, "text")]})
 
     def learn(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["terms", "toxic"], kind="stable")
@@ -157,7 +208,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                             columns=["bias", "terms", "weights", "factors"])
 
     texts = columns(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    got = texts.select("toxic", "text").mapInPandas(read, "toxic long, terms binary").groupBy(F.lit(0).alias("one")).applyInPandas(
+    rows = texts.select("doc_id", "toxic", "text").mapInPandas(read, "doc_id long, toxic long, terms binary")
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms"))
+    got = rows.select("toxic", "terms").groupBy(F.lit(0).alias("one")).applyInPandas(
         learn, "bias double, terms binary, weights binary, factors binary").first()
     if got is None:
         return fit([], np.zeros(0))

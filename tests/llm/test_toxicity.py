@@ -29,6 +29,56 @@ def test_pairs_are_learned_that_no_additive_weights_can_express():
     assert np.mean(right) > 0.99
 
 
+def test_pairs_of_terms_that_are_harmless_alone():
+    """Neither word changes the rate of toxic texts by itself; together they nearly decide it."""
+    rng = random.Random(3)
+    texts, labels = [], []
+    for _ in range(8000):
+        insult, group = rng.random() < 0.2, rng.random() < 0.2
+        words = [f"w{rng.randrange(300)}" for _ in range(12)] + ["wretch"] * insult + ["neighbours"] * group
+        texts.append(M.terms(" ".join(words)))
+        labels.append(rng.random() < (0.88 if insult and group else 0.02 if insult or group else 0.2))
+    labels = np.array(labels, float)
+    for word in ("wretch", "neighbours"):
+        with_word = labels[[M.terms(word)[0] in t for t in texts]]
+        assert abs(with_word.mean() - labels.mean()) < 0.03
+    model = M.fit(texts, labels)
+    place = {int(t): i for i, t in enumerate(model.terms)}
+    score = lambda text: model.score(M._found(text, place, {}))
+    assert score("wretch neighbours") > 0.5
+    assert score("wretch") < 0.3 and score("neighbours") < 0.3 and score("") < 0.3
+    assert set(model.terms) <= set(M.terms("wretch neighbours"))
+
+
+def test_pairs_are_counted_alike_in_any_blocks(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.random((400, 37)) < 0.4
+    labels = ((x[:, 3] & x[:, 30]) | (rng.random(400) < 0.1)).astype(float)
+    rows, cols = np.nonzero(x)
+    toxic, count, rate = x[labels > 0].sum(axis=0), x.sum(axis=0), labels.mean()
+    used = np.ones(len(cols), bool)
+    whole = M._pair_evidence(rows, cols, used, labels, toxic, count, rate, 10.0)
+    monkeypatch.setattr(M, "PAIR_BLOCK", 5)
+    assert (M._pair_evidence(rows, cols, used, labels, toxic, count, rate, 10.0) == whole).all()
+    want, own = set(), np.maximum(toxic / count, rate)
+    for i in range(37):
+        for j in range(i):
+            both = labels[x[:, i] & x[:, j]]
+            odds = own[i] / (1 - own[i]) * own[j] / (1 - own[j]) / (rate / (1 - rate))
+            p, q = odds / (1 + odds), both.mean()
+            ratio = 2 * sum(n * np.log(n / len(both) / e) for n, e in ((both.sum(), p), (len(both) - both.sum(), 1 - p)) if n)
+            want |= {i, j} if q > p and ratio >= 10 + 2 * np.log(18) else set()
+    assert set(np.flatnonzero(whole)) == want and {3, 30} <= want
+
+
+def test_one_row_of_an_id_is_learned_from(spark, docs_of):
+    docs = docs_of([(1, "vile words")] * 300 + [(i, f"kind words {i}") for i in range(2, 40)])
+    labels = spark.createDataFrame([(i, 1, int(i == 1)) for i in range(1, 40)], LABELS)
+    once = docs.dropDuplicates(["doc_id", "text"])
+    a, b = M.train(docs, labels), M.train(once, labels)
+    assert a.bias == b.bias and (a.terms == b.terms).all() and (a.weights == b.weights).all()
+
+
 def test_score_is_the_sum_over_terms_and_pairs():
     rng = np.random.default_rng(2)
     m = M.Model(-0.3, np.arange(5, dtype=np.uint64), rng.normal(size=5), rng.normal(size=(5, 3)))
