@@ -1,9 +1,10 @@
 """HTML extraction: pages become flat text blocks, and a decision tree tells main text from the rest.
 
 A page is read once into blocks: the text between block-level tags, with its words, the share of them inside
-links, and where the block stands: inside an article or main element, and inside or next to elements whose tag, class,
+links, and where the block stands: inside an article or main element, and inside elements whose tag, class,
 id or role speaks of navigation, adverts, notices, forms, or comments. A block's features are
-its own and its neighbours' word counts and link densities, and these places. The tree is trained here, on
+its own and its neighbours' word counts and link densities, and these places. Where an element announces main text the places decide, elsewhere
+word counts and link densities. Names that tell a state (``has-sidebar``) and those of the body announce nothing. The tree is trained here, on
 a small table of labelled pages below; nothing else is fitted.
 
 Scripts, styles, templates and comments in the markup have no text. Character references are decoded,
@@ -53,9 +54,13 @@ for _i, _name in enumerate(PLACE_NAMES):
     for _word in PLACES[_name].split():
         _PLACE_OF.setdefault(_word, []).append(_i)
 
+# First and last words of class names that tell the state of a page, not what an element holds.
+STATE_FIRST = frozenset("has is no not with without".split())
+STATE_LAST = frozenset("open opened closed collapsed disabled enabled fixed sticky".split())
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NOT_SHOWN = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -74,15 +79,28 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 def _places(tag: str, attributes: str) -> int:
-    """Bits of the places that an element's tag, class, id and role announce."""
-    bits = 0
-    words = _WORD.findall(" ".join("".join(m) for m in _ATTRIBUTE.findall(attributes)).lower())
-    if tag != "body":
-        words.append(tag)
+    """Bits of the places that an element's tag, class, id and role announce, and whether it is hidden.
+
+    The page's own elements announce nothing, nor do names of states (``has-sidebar``, ``comments-open``).
+    """
+    if tag in ("html", "body"):
+        return 0
+    bits, words = 0, [tag]
+    for name, *values in _ATTRIBUTE.findall(attributes) if attributes.strip() else ():
+        name, value = name.lower(), "".join(values).lower()
+        if name in ("class", "id", "role"):
+            for token in value.split():
+                parts = _WORD.findall(token)
+                if len(parts) < 2 or not (parts[0] in STATE_FIRST or parts[-1] in STATE_LAST):
+                    words += parts
+                if name == "class" and token == "hidden":
+                    bits |= _HIDE
+        elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _NOT_SHOWN.search(value)):
+            bits |= _HIDE
     for w in words:
         for i in _PLACE_OF.get(w, ()):
             bits |= 1 << i
-    return bits | _HIDE if attributes and _HIDDEN.search(attributes) else bits
+    return bits
 
 
 class _Reader:

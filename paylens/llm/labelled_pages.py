@@ -74,8 +74,21 @@ def _shapes(lengths: list[int], k: int) -> list[str]:
         f'<div class="sidebar"><p>{long}</p></div></body></html>',
         f'<html><body><main><header><h1>{_main(5)}</h1></header><p><a href="/z">{_main(2)}</a></p><p>{_main(1 + 31 * k % 88)}</p><p hidden>{long}</p></main><p>{long}</p></body></html>',
         f'<html><body>{nav}<article><p><a href="/q">{_main(5)}</a></p>{text}</article><div class="advert"><p>{long}</p></div></body></html>',
+        # no element says so here either, and lengths do not tell: long runs of links, short paragraphs, labels between lists of links
+        f'<html><body><p><a href="/a">{_words(20 + 29 * k % 83)}</a> {_words(2)}</p><p>{_main(36 + 13 * k % 70)}</p><p>{_main(3 + k % 17)}</p>'
+        f'<p>{_main(30 + 7 * k % 90)} <a href="/b">{_words(4)}</a></p><p>{_main(2 + 5 * k % 19)}</p><p>{_main(33 + 17 * k % 60)}</p>'
+        f'<p><a href="/a">{_words(31 + 17 * k % 71)}</a></p><p>{_words(3 + k % 17)}</p>{_links(4, 25 + k, "p")}</body></html>',
+        f'<html><body>{_links(3, 22 + 2 * k, "div")}<div>{_words(20 + 5 * k % 31)}</div>{_links(2, 24 + k, "div")}<div>{_main(34 + 11 * k % 70)}</div>'
+        f'<div>{_main(4 + k % 13)}</div><div>{_main(32 + 19 * k % 80)}</div>{_links(3, 28 + k, "div")}</body></html>',
+        # states of the page on wrappers of the article, and hidden parts inside
+        f'<html><body class="has-sidebar single-post"><div class="{_STATES[k % len(_STATES)]}"><article>{text}<div aria-hidden="true">{long}</div>'
+        f'</article></div><div class="sidebar"><p>{long}</p></div></body></html>',
+        f'<html><body class="no-header"><div style="overflow:hidden" title="hidden gems">{nav}<main>{text}</main><div class="hidden">{long}</div></div></body></html>',
     ]
 
 
+_STATES = ("has-sidebar", "post comments-open", "no-search header-fixed", "with-nav", "content without-footer", "is-popup-open")
+
+
 def labelled_pages() -> list[str]:
     return [page for k in range(VARIANTS) for page in _shapes(_lengths(k), k)]

@@ -32,6 +32,32 @@ def test_lengths_do_not_decide_inside_and_outside_an_article(tree, first, rest):
         assert M.extract(html, tree) == f"head head head head\n\n{text}\n\nend end end"
 
 
+@pytest.mark.parametrize("opening, closing", [
+    ('<body class="has-sidebar">', "</body>"), ('<div class="has-sidebar">', "</div>"), ('<div style="overflow:hidden">', "</div>"),
+    ('<div class="post comments-open">', "</div>"), ('<div title="hidden gems">', "</div>"), ('<div class="no-search header-fixed">', "</div>"),
+    ("<div data-hidden=no aria-hidden=false>", "</div>")])
+def test_wrappers_that_tell_a_state_leave_the_article(tree, opening, closing):
+    words = [" ".join(["text"] * n) for n in (4, 60, 3, 31)]
+    html = f"{opening}<nav><a href=x>menu</a></nav><article>{''.join(f'<p>{w}</p>' for w in words)}</article><footer>end</footer>{closing}"
+    assert M.extract(html, tree) == "\n\n".join(words)
+
+
+@pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=''", "class='x hidden'", "aria-hidden=true", "style='color:red; display : none'"])
+def test_hidden_parts_go(tree, attribute):
+    assert M.extract(f"<article><p>one two</p><div {attribute}><p>{'not seen ' * 20}</p></div></article>", tree) == "one two"
+
+
+def test_link_densities_decide_where_no_element_announces_the_text(tree):
+    """Same lengths, same tags: what is inside links goes, and short blocks go with their neighbours."""
+    used = set(re.findall(r"[a-z_]+(?= <=)", tree.rules()))
+    assert "density" in used and used & {"density_before", "density_after"}
+    words = lambda n, w: " ".join([w] * n)
+    for n in (36, 50, 70):
+        linked, text = f"<p><a href=x>{words(n, 'link')}</a></p>", [words(n, "text"), words(9, "short"), words(n + 3, "more")]
+        html = f"{linked * 2}{''.join(f'<p>{t}</p>' for t in text)}{linked}<p>{words(9, 'label')}</p>{linked * 3}"
+        assert M.extract(html, tree) == "\n\n".join(text)
+
+
 def test_pages_equal_their_articles(spark, sf_dir):
     from paylens.llm.queries import op6_html_text
 
