@@ -133,3 +133,46 @@ def test_forests_beat_the_mean(tables):
         assert all(r["r2"] > 0.5 for r in fitted.metrics().collect())
         importances = [r["weight"] for r in fitted.weights().collect()]
         assert sum(importances) == pytest.approx(1.0) and importances == sorted(importances, reverse=True)
+
+
+def test_cells_in_use_give_the_splits_of_whole_histograms():
+    rng = np.random.default_rng(1)
+    spec = forest.Spec(("a", "c"), (12, 9), 1, None, None, 42)
+    bins = np.stack([rng.integers(0, 12, 300), rng.integers(0, 9, 300)]).astype(np.uint8)
+    at, w, y = np.sort(rng.integers(0, 40, 300)), rng.integers(1, 4, 300).astype(float), rng.integers(0, 50, 300).astype(float)
+    at = np.unique(at, return_inverse=True)[1]
+    k = at.max() + 1
+    n, s = np.bincount(at, w), np.bincount(at, w * y)
+    whole, cells = forest.Splits(n, s, spec, None), forest.Splits(n, s, spec, None)
+    for f, size in enumerate(spec.sizes):
+        cell = at * size + bins[f]
+        whole.add(f, np.bincount(cell, w, k * size).reshape(k, size), np.bincount(cell, w * y, k * size).reshape(k, size))
+        used = np.unique(cell)
+        cells.add_cells(f, used // size, used % size, np.bincount(cell, w)[used], np.bincount(cell, w * y)[used])
+    assert whole.done() == pytest.approx(cells.done())
+    assert (whole.feature == cells.feature).all() and (whole.feature == 0).any() and (whole.feature == 1).any()
+    for i in range(k):
+        held = np.unique(bins[1][at == i])
+        assert whole.cut[i] == cells.cut[i] and (whole.mask[i, held] == cells.mask[i, held]).all()
+
+
+def test_bags_are_poisson_draws_and_are_not_exploded(made, monkeypatch):
+    import hashlib
+
+    drawn = forest.weights(["7", None, "12"], 3, 42)
+    limits = forest.poisson_limits()
+    for tree in range(3):
+        for place, i in ((0, "7"), (2, "12")):
+            u = int(hashlib.md5(f"42:{tree}:{i}".encode()).hexdigest()[:8], 16)
+            assert drawn[tree, place] == sum(u >= x for x in limits)
+    staged = {}
+    real = forest.stage_table
+
+    def stage(df, name, *more):
+        out = real(df, name, *more)
+        staged[name] = max(staged.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(forest, "stage_table", stage)
+    fit(made, local_rows=100, num_trees=10)
+    assert max(staged.values()) <= 400  # no table of (tree, row)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from paylens.models import evaluation, net, net_math, onehot_line, regressors
+from paylens.models import evaluation, net, net_math, net_replay, onehot_line, regressors
 from paylens.schemas import FineTuneParams, NetParams, NUMERIC_FEATURES
 
 
@@ -260,3 +260,24 @@ def test_a_network_too_large_to_be_sent_is_an_error(tables, monkeypatch):
     monkeypatch.setattr(net, "MAX_WEIGHTS", 10)
     with pytest.raises(ValueError, match="weights"):
         net.prepare(tables.features)
+
+
+@pytest.mark.parametrize("limit", [1, 4])
+def test_a_partition_of_many_shards_passes_on_one_state(base, tables, monkeypatch, limit):
+    monkeypatch.setattr(net, "SHARDS", limit)
+    params = replace(base.params, rows_per_shard=50, epochs=1, batch_size=16)
+    prepared = net.prepare(tables.features, params)
+    sent = []
+    real = net._average
+    monkeypatch.setattr(net, "_average", lambda rows, parts: sent.append(rows.count()) or real(rows, parts))
+    net.fit(prepared, params)
+    assert prepared.shards > 4 and sent == [-(-prepared.shards // min(limit, max(1, prepared.shards // limit)))]
+    assert prepared.train.count() == prepared.shards
+
+
+def test_replay_carries_no_weights_in_its_rows(base):
+    plan = net_replay.replay(base)._jdf.queryExecution().optimizedPlan().toString()
+    projects = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert len(projects) == 4
+    kept = [line.strip() for line in plan.splitlines() if line.strip(" +-:").startswith("Project [job_id") and "scalar-subquery" not in line]
+    assert all("_w" not in line for line in kept)
