@@ -112,3 +112,11 @@ def test_context_helps_held_out_texts(docs_of, texts):
 def test_quantisation_is_fine_enough():
     p = 10.0 ** -np.linspace(0, 7, 1000)
     assert (np.abs(np.log10(M.probability(M.quantise(p)) / p)) <= 0.5 / M.STEPS + 1e-9).all()
+
+
+def test_the_query_scores_by_trigrams(spark, docs_of, tmp_path):
+    from paylens.llm import queries
+
+    rows = [(i, f"a b c{i % 3} a b d{i % 2} a b c{i % 3}") for i in range(12)]
+    docs_of(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    compare(queries.op2_ngram_lm(spark, str(tmp_path)).collect(), brute(rows, 3))
