@@ -129,3 +129,14 @@ def test_clean_schema_and_unique_ids(tables):
 def test_cleaning_again_changes_nothing(tables):
     again = cleaning.drop_duplicates_key(cleaning.sentinel_filters(tables.clean))
     assert again.exceptAll(tables.clean).count() == 0 and again.count() == tables.clean.count()
+
+
+def test_a_value_that_is_tested_and_used_is_computed_once_in_each_place(spark, tables):
+    """The optimizer puts a raw column's expression into the filter and into the projection; each holds it once."""
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert plan(cleaning.clean_employees(tables.raw_employee)).count("regexp_extract") <= 4  # two ids
+    assert plan(cleaning.clean_salaries(tables.raw_salary)).count("FLOOR((") <= 2
+    # the role and the industry are each tested for tokens, then passed on
+    assert plan(cleaning.type_salaries(tables.raw_salary)).count("FLOOR((") <= 1
