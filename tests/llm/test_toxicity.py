@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -127,3 +128,17 @@ def test_no_labels_or_one_kind(spark, docs_of):
         assert len(out) == 2 and len({r.score for r in out}) == 1
     empty = docs_of([])
     assert M.scores(empty, M.train(empty, spark.createDataFrame([], LABELS))).collect() == []
+
+
+def test_a_fit_holds_the_sample_about_once():
+    """Beside the texts' terms: one sorted copy and 32-bit places. With several copies in 64 bits, the task did not fit an executor."""
+    rng = np.random.default_rng(5)
+    labels = (rng.random(2000) < 0.1).astype(float)
+    texts = [np.unique(np.append(rng.integers(0, 40000, 1500), 50000) if y else rng.integers(0, 40000, 1500)).astype(np.uint64) for y in labels]
+    held = sum(t.nbytes for t in texts)
+    tracemalloc.start()
+    model = M.fit(texts, labels, epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 50000 in model.terms
+    assert peak < 3.5 * held
