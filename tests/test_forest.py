@@ -1,5 +1,7 @@
 """Forests: both phases of growth, layouts, bins, and the exported nodes; the registered ones are compared with SQL."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +120,38 @@ def test_bins_of_many_values(spark):
     assert (levels == levels[0]).all() and (np.diff(levels[0]) >= 0).all() and levels[0].max() == 254
 
 
+def test_bins_at_and_beyond_the_edges(spark):
+    edges = spark.createDataFrame([("a", 2.0), ("a", 0.0), ("a", 1.0)], "feature string, edge double")
+    of = binning.Binning(["a", "b"], [], edges.union(spark.createDataFrame([("b", 5.0)], "feature string, edge double")), {})
+    values = [-1.0, -0.0, 0.5, 1.0, 2.0, 3.0, float("nan"), float("inf"), float("-inf"), None]
+    rows = spark.createDataFrame([(i, v, v) for i, v in enumerate(values)], "id int, a double, b double")
+    binned = of.transform(rows, ["id"])
+    got = binned.select("id", binning.bin_of(of.packs, 0), binning.bin_of(of.packs, 1)).orderBy("id").collect()
+    assert [r[1] for r in got] == [0, 0, 1, 1, 2, 2, 2, 2, 0, 0] and {r[2] for r in got} == {0}
+    # a batch of rows is searched at once, not value by value in an interpreted loop
+    assert "lambda" not in binned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bags_are_drawn_for_many_rows_at_once(monkeypatch):
+    ids = [str(i * 7919) for i in range(9000)] + [None, "", "x" * 49, "x" * 50, "x" * 51, "a" * 200, "é\0", "\0"]
+    limits = np.array(forest.poisson_limits())
+    expected = [[len(limits) if i is None else int(np.searchsorted(
+        limits, int(hashlib.md5(f"42:{t}:{i}".encode()).hexdigest()[:8], 16), side="right")) for i in ids] for t in range(12)]
+    alone = []
+
+    class Counted:
+        @staticmethod
+        def md5(message):
+            alone.append(message)
+            return hashlib.md5(message)
+
+    monkeypatch.setattr(forest, "hashlib", Counted)
+    assert forest.weights(ids, 12, 42).tolist() == expected
+    # only messages that are longer than a block of MD5 in some tree go one by one
+    assert len(alone) == 12 * 3 and min(map(len, alone)) > 54
+    assert forest.weights([], 3, 42).shape == (3, 0)
+
+
 def test_constant_and_tiny_tables(spark):
     rows = spark.createDataFrame([(1, 1, 0.5, "x", 7)], "id long, a int, b double, c string, y long")
     many = spark.range(50).selectExpr("id", "1 AS a", "0.5 AS b", "'x' AS c", "7L AS y")
