@@ -137,6 +137,28 @@ def test_gradient_equals_finite_differences():
         assert grad[i] == pytest.approx((error(flat + step) - error(flat - step)) / 2e-6, abs=1e-5)
 
 
+def test_embedding_gradients_add_up_by_flat_places(monkeypatch):
+    rng = np.random.default_rng(3)
+    flat = LAYOUT.start(1)
+    batch = rng.normal(size=(40, 2)), rng.integers(0, 3, (40, 2)), rng.normal(size=40)
+    expected, kinds = net_math.gradient(flat, *batch, LAYOUT)[0], []
+
+    class Numpy:
+        class add:
+            @staticmethod
+            def at(table, places, values):
+                kinds.append(np.ndim(table))
+                np.add.at(table, places, values)
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+    monkeypatch.setattr(net_math, "np", Numpy())
+    assert (net_math.gradient(flat, *batch, LAYOUT)[0] == expected).all()
+    # rows of a matrix are added many times more slowly
+    assert kinds == [1, 1]
+
+
 def test_layout_sizes():
     shapes = LAYOUT.shapes()
     assert shapes["embedding_c"] == (3, 2) and shapes["embedding_d"] == (5, 3)
