@@ -210,3 +210,26 @@ def test_bags_are_poisson_draws_and_are_not_exploded(made, monkeypatch):
     monkeypatch.setattr(forest, "stage_table", stage)
     fit(made, local_rows=100, num_trees=10)
     assert max(staged.values()) <= 400  # no table of (tree, row)
+
+
+def test_rows_of_nodes_with_one_bin_are_not_sorted(monkeypatch):
+    """Most features of a deep node have one bin there; sorting and adding up their rows was most of a subtree's growth."""
+    rng = np.random.default_rng(8)
+    n = 3000
+    bins = np.stack([rng.integers(0, 200, n), rng.integers(0, 2, n), rng.integers(0, 40, n)]).astype(np.uint8)
+    y, w = rng.integers(0, 50, n).astype(float), rng.integers(1, 4, n).astype(float)
+    spec = forest.Spec(("a", "b", "c"), (200, 2, 40), 1, None, None, 1)
+    dense = monkeypatch.setattr(forest, "DENSE", 10**6) or forest.grow(bins, y, w, 0, "", spec)
+    monkeypatch.setattr(forest, "DENSE", 1)
+    cells, add = [], forest.Splits.add_cells
+    monkeypatch.setattr(forest.Splits, "add_cells", lambda self, f, node, *rest: cells.append(np.bincount(node)) or add(self, f, node, *rest))
+    assert forest.grow(bins, y, w, 0, "", spec) == dense
+    assert cells and all((c != 1).all() for c in cells)
+
+
+def test_cells_of_texts_are_ordered_by_node_and_mean():
+    rng = np.random.default_rng(9)
+    node, value = np.sort(rng.integers(0, 50, 1000)), rng.integers(0, 7, 1000) / 3
+    want = np.lexsort((np.arange(1000), value, node))
+    assert (forest._in_order(node, value) == want).all()
+    assert (forest._in_order(node << 50, value) == want).all()
