@@ -142,3 +142,32 @@ def test_a_fit_holds_the_sample_about_once():
     tracemalloc.stop()
     assert 50000 in model.terms
     assert peak < 3.5 * held
+
+
+def test_the_fit_gets_the_places_of_candidates_only(spark, docs_of):
+    """Every term of the sample went to one task, whose memory the executor did not have."""
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        words = [f"rare{rng.randrange(40000)}" for _ in range(40)] + ["wretch"] * toxic + [f"often{rng.randrange(9)}"]
+        rows.append((toxic, M.terms(" ".join(words)).tobytes()))
+        labels.append((i, " ".join(words), int(toxic)))
+    table = spark.createDataFrame([(int(t), b) for t, b in rows], "toxic long, terms binary").repartition(5)
+    names, count, n_toxic = M.candidates(table, 0.25)
+    all_terms = [np.frombuffer(b, np.uint64) for _, b in rows]
+    for name, n, bad in zip(names, count, n_toxic):
+        has = [name in t for t in all_terms]
+        assert (n, bad) == (sum(has), sum(h and t for h, (t, _) in zip(has, rows)))
+    assert set(M.terms("wretch")) <= set(names) and (np.diff(names) > 0).all()
+    placed = M.placed(table, names)
+    assert placed.rdd.getNumPartitions() == 1
+    got = [tuple(names[np.frombuffer(r.places, np.int32)]) for r in placed.collect()]
+    ordered = [np.frombuffer(b, np.uint64) for b, _ in sorted((b, t) for t, b in rows)]
+    assert got == [tuple(t[np.isin(t, names)]) for t in ordered]
+    assert 4 * sum(map(len, got)) < 8 * sum(map(len, all_terms)) / 4  # bytes
+    trained = M.train(docs_of([r[:2] for r in labels]), spark.createDataFrame([(i, 1, y) for i, _, y in labels], LABELS))
+    learned = [(M.terms(text).tobytes(), y) for i, text, y in labels if zlib.crc32(str(i).encode()) % 4 != 2]
+    whole = M.fit([np.frombuffer(t, np.uint64) for t, _ in sorted(learned)], np.array([y for _, y in sorted(learned)], float))
+    assert trained.bias == whole.bias and (trained.terms == whole.terms).all()
+    assert (trained.weights == whole.weights).all() and (trained.factors == whole.factors).all()
