@@ -1,14 +1,15 @@
 """Exact top-k inner products by a dual-tree search over cover trees.
 
-Vectors are grouped into blocks by a hash of their id, queries likewise. Every block is indexed by a cover tree: a node has a
+Vectors are packed into blocks where they are read, queries likewise. Every block is indexed by a cover tree: a node has a
 centre, a covering radius around it and children whose centres keep a distance; a child of
-the same centre comes first. A block of queries visits every block of data, in a join of blocks on the data block's number. There
+the same centre comes first. A block of queries visits every block of data, group by group. There
 the two trees are descended together. For nodes Q and R with centres q and r and radii a and b,
 
     max <x, y>  <=  <q, r> + a * |r| + b * |q| + a * b      (x in Q, y in R)
 
-and the pair is left out if that is below the worst k-th score of the queries in Q. The k best of each
-block are merged by a window.
+and the pair is left out if that is below the worst k-th score of the queries in Q. Where few products would be spared, the pair
+is not opened but computed as one matrix product, tile by tile. The k best are kept from
+block to block of a group, and those of the groups are merged by a window.
 
 Scores are exact integers; a bound is widened by the rounding error of its floats, and an equal bound is kept, so
 ties go to the smaller id. Vectors that are null, empty or hold a null or non-finite component take no part. Only vectors of equal
@@ -22,13 +23,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylens.llm.blocks import pack, unpack
 from paylens.session import stage_table
 
 #: Vectors per block, on average.
 BLOCK = 8192
+#: Blocks of a group of queries; a group of data has up to four times as many.
+GROUP = 16
+#: Scores that are held at a time, and tasks that search.
+SCORES, TASKS = 2**19, 2000
+#: A pair of nodes is opened if at least this share of its products would be spared at once.
+SPARED = 0.25
 #: Nodes of up to so many vectors have no children: of data, of queries.
 LEAF, QUERY_LEAF = 64, 8
 #: A child's radius is the parent's divided by this. In many dimensions most distances are alike; 2 would part all rows.
@@ -94,54 +103,140 @@ def bounds(q: CoverTree, r: CoverTree) -> np.ndarray:
     return upper + 1e-9 * (1 + (q.norms[:, None] + a) * (r.norms + b))
 
 
-def _exact(queries: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both in a type in which every product is an exact integer."""
-    most = float(np.abs(queries).max()) * float(np.abs(data).max()) * data.shape[1]
+def _type(most: float):
+    """The fastest type in which sums of products up to ``most`` are exact integers."""
     if most >= 2.0**63:
         raise ValueError("a product may not fit into 64 bits")
-    return (queries, data) if most < 2.0**53 else (queries.astype(np.longdouble), data.astype(np.longdouble))
+    return np.float32 if most < 2.0**24 else np.float64 if most < 2.0**53 else np.longdouble
+
+
+def _leaves(tree: CoverTree) -> np.ndarray:
+    """Nodes without children, in the order of their rows."""
+    leaves = [i for i, children in enumerate(tree.children) if not children]
+    return np.array(sorted(leaves, key=lambda i: tree.spans[i]))
+
+
+class Data:
+    """A block of data in the order of its cover tree."""
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, dtype):
+        self.tree = CoverTree(vectors, LEAF)
+        order = self.tree.rows
+        self.vectors, self.ids = vectors[order].astype(dtype), ids[order]
+        self.by_id = np.argsort(self.ids, kind="stable")
+        self.ascending = self.ids[self.by_id]
+        self.leaves = _leaves(self.tree)
+        self.starts, self.ends = np.array(self.tree.spans)[self.leaves].T
+
+
+class Queries:
+    """A block of queries in the order of its cover tree, with the k best scores found so far and their ids, kept from one block of data to the next.
+
+    ``floor`` is a score that k others are known to reach.
+    """
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, k: int, dtype):
+        self.tree, self.k = CoverTree(vectors, QUERY_LEAF), k
+        self.order = self.tree.rows
+        self.vectors, self.ids = vectors[self.order].astype(dtype), ids[self.order]
+        self.best = np.full((len(ids), k), -np.inf, dtype)
+        self.names = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.floor = np.full(len(ids), -np.inf, dtype)
+        self.leaves = _leaves(self.tree)
+        self.starts, self.ends = np.array(self.tree.spans)[self.leaves].T
+
+    def visit(self, data: Data) -> int:
+        """Take the best of one more block; how many products were computed."""
+        q_tree, r_tree = self.tree, data.tree
+        upper = bounds(q_tree, r_tree)
+        of_leaves = upper[np.ix_(self.leaves, data.leaves)]
+        products = self._first(data, of_leaves) if np.isinf(self.floor).any() else 0
+        weights = data.ends - data.starts
+        stack = [(q_tree.root, r_tree.root)]
+        while stack:
+            q, r = stack.pop()
+            (begin, stop), (start, end) = q_tree.spans[q], r_tree.spans[r]
+            if upper[q, r] < self.floor[begin:stop].min():
+                continue
+            q_children, r_children = q_tree.children[q], r_tree.children[r]
+            if q_children or r_children:
+                some, others = (slice(*np.searchsorted(x.starts, span)) for x, span in ((self, (begin, stop)), (data, (start, end))))
+                least = np.minimum.reduceat(self.floor[begin:stop], self.starts[some] - begin)
+                pruned = (of_leaves[some, others] < least[:, None]) @ weights[others] @ (self.ends - self.starts)[some]
+                # opened where that spares products; where it does not, one large product is quicker than many small ones
+                if pruned >= SPARED * (stop - begin) * (end - start):
+                    # the wider node is opened; the most promising pair comes off the stack first
+                    if r_children and (not q_children or r_tree.radii[r] >= q_tree.radii[q]):
+                        stack += [(q, c) for c in sorted(r_children, key=lambda c: upper[q, c])]  # noqa: B023
+                    else:
+                        stack += [(c, r) for c in sorted(q_children, key=lambda c: upper[c, r])]  # noqa: B023
+                    continue
+            products += (stop - begin) * (end - start)
+            few = max(1, SCORES // (end - start))
+            for at in range(begin, stop, few):
+                self._take(slice(at, min(at + few, stop)), data, start, end)
+        return products
+
+    def _scores(self, rows: slice, data: Data, start: int, end: int) -> np.ndarray:
+        """Products with a range of the data; of a query's own id, minus infinity."""
+        scores = self.vectors[rows] @ data.vectors[start:end].T
+        first, last = (np.searchsorted(data.ascending, self.ids[rows], side) for side in ("left", "right"))
+        for i in np.flatnonzero(first < last):
+            own = data.by_id[first[i]:last[i]]
+            scores[i, own[(own >= start) & (own < end)] - start] = -np.inf
+        return scores
+
+    def _first(self, data: Data, upper: np.ndarray) -> int:
+        """A first floor for every query, from the most promising leaf; nothing is taken yet."""
+        products = 0
+        large = np.flatnonzero(data.ends - data.starts > self.k)
+        if len(large):
+            for i, j in enumerate(large[upper[:, large].argmax(axis=1)]):
+                rows = slice(self.starts[i], self.ends[i])
+                scores = self._scores(rows, data, data.starts[j], min(data.ends[j], data.starts[j] + LEAF + self.k))
+                kth = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, scores.shape[1] - self.k]
+                self.floor[rows] = np.maximum(self.floor[rows], kth)
+                products += scores.size
+        return products
+
+    def _take(self, rows: slice, data: Data, start: int, end: int) -> None:
+        scores = self._scores(rows, data, start, end)
+        # only what reaches the floor can matter, nor can what has k higher scores beside it
+        useful = scores >= self.floor[rows, None]
+        if np.count_nonzero(useful) > 4 * self.k * len(scores) and end - start > self.k:
+            kth = np.partition(scores, end - start - self.k, axis=1)[:, end - start - self.k]
+            useful &= scores >= kth[:, None]
+        i, j = np.nonzero(useful)
+        found = scores[i, j]
+        finite = np.isfinite(found)
+        if not finite.any():
+            return
+        i, j, found = i[finite], j[finite], found[finite]
+        changed = np.unique(i)
+        at = rows.start + changed
+        both = np.concatenate([self.best[at].ravel(), found])
+        names = np.concatenate([self.names[at].ravel(), data.ids[start + j]])
+        of = np.concatenate([np.repeat(changed, self.k), i])
+        order = np.lexsort((names, -both, of))
+        top = order[np.flatnonzero(np.diff(of[order], prepend=-1))[:, None] + np.arange(self.k)]
+        self.best[at], self.names[at] = both[top], names[top]
+        self.floor[at] = np.maximum(self.floor[at], self.best[at, -1])
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of queries as they were given, ids, scores."""
+        i, j = np.nonzero(np.isfinite(self.best))
+        return self.order[i], self.names[i, j], self.best[i, j].astype(np.int64)
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int):
-    """Each query's k best in this block: rows of queries, rows of data, scores; and how many products were computed."""
-    none = np.zeros(0, np.int64)
+    """Each query's k best in this block: rows of queries, ids, scores; and how many products were computed."""
     if not len(queries) or not len(data):
+        none = np.zeros(0, np.int64)
         return none, none, none, 0
-    queries, data = _exact(queries, data)
-    q_tree, r_tree = CoverTree(queries, QUERY_LEAF), CoverTree(data, LEAF)
-    upper = bounds(q_tree, r_tree)
-    order = r_tree.rows
-    data, ids = data[order], ids[order]
-    best = np.full((len(queries), k), -np.inf, queries.dtype)
-    place = np.full((len(queries), k), -1, np.int64)
-    products = 0
-    stack = [(q_tree.root, r_tree.root)]
-    while stack:
-        q, r = stack.pop()
-        rows = q_tree.rows[slice(*q_tree.spans[q])]
-        if upper[q, r] < best[rows, -1].min():
-            continue
-        q_children, r_children = q_tree.children[q], r_tree.children[r]
-        if q_children or r_children:
-            # the wider node is opened; the most promising pair comes off the stack first
-            if r_children and (not q_children or r_tree.radii[r] >= q_tree.radii[q]):
-                stack += [(q, c) for c in sorted(r_children, key=lambda c: upper[q, c])]  # noqa: B023
-            else:
-                stack += [(c, r) for c in sorted(q_children, key=lambda c: upper[c, r])]  # noqa: B023
-            continue
-        start, end = r_tree.spans[r]
-        scores = queries[rows] @ data[start:end].T
-        products += scores.size
-        scores = np.where(ids[start:end] == query_ids[rows][:, None], -np.inf, scores)
-        # of a leaf, only what reaches the k-th score so far can matter
-        useful = np.flatnonzero((scores >= best[rows, -1:]).any(axis=0))
-        both = np.concatenate([best[rows], scores[:, useful]], axis=1)
-        where = np.concatenate([place[rows], np.broadcast_to(start + useful, (len(rows), len(useful)))], axis=1)
-        names = np.where(where >= 0, ids[where], np.iinfo(np.int64).max)
-        top = np.lexsort((names, -both), axis=1)[:, :k]
-        best[rows], place[rows] = np.take_along_axis(both, top, 1), np.take_along_axis(where, top, 1)
-    i, j = np.nonzero(np.isfinite(best))
-    return i, order[place[i, j]], best[i, j].astype(np.int64), products
+    dtype = _type(float(np.abs(queries).max()) * float(np.abs(data).max()) * data.shape[1])
+    asked = Queries(queries, query_ids, k, dtype)
+    products = asked.visit(Data(data, ids, dtype))
+    return *asked.found(), products
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -153,40 +248,74 @@ def usable(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFram
     return kept.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
 
 
-def _blocks(rows: DataFrame, n: int) -> DataFrame:
-    """One row per block and vector length, with ids and vectors as bytes."""
+def _blocks(rows: DataFrame, limit: int) -> DataFrame:
+    """One row per block of up to ``limit`` vectors of a length, packed and written to the shared folder; rows stay where they were read."""
+
+    def packed(number: int, size: int, frame: pd.DataFrame) -> pd.DataFrame:
+        values = np.stack(frame["v"].to_numpy()).astype(np.float64)
+        return pd.DataFrame({
+            "number": [number], "size": [size], "largest": [float(np.abs(values).max())],
+            "ids": [pack(frame["vec_id"].to_numpy(), np.int64)], "vectors": [pack(values.reshape(-1), np.float64)]})
 
-    def join(key, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("vec_id", kind="stable")
-        values = np.stack(frame["v"].to_numpy())
-        return pd.DataFrame({"block": [key[0]], "size": [key[1]], "ids": [frame["vec_id"].to_numpy(np.int64).tobytes()],
-                             "vectors": [values.astype(np.float64).tobytes()]})
+    def form(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, held = TaskContext.get().partitionId(), {}
+        for batch in batches:
+            for size, frame in batch.groupby(batch["v"].map(len)):
+                whole = pd.concat([held.pop(size), frame]) if size in held else frame
+                while len(whole) >= limit:
+                    yield packed(number, size, whole[:limit])
+                    number, whole = number + 1, whole[limit:]
+                if len(whole):
+                    held[size] = whole
+        for size, whole in held.items():
+            yield packed(number, size, whole)
+            number += 1
 
-    block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int")
-    return rows.select("*", block.alias("block"), F.size("v").alias("size")).groupBy("block", "size").applyInPandas(
-        join, "block int, size int, ids binary, vectors binary")
+    return stage_table(rows.mapInPandas(form, "number int, size int, largest double, ids binary, vectors binary"), "blocks")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding",
           scale: int = 256, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k highest inner products, ties to the smaller id."""
+    """(query_id, rank, vec_id, score): each query's k highest inner products, ties to the smaller id.
+
+    Blocks of data and of queries are dealt out to groups; a cell is a pair of groups and is searched at once. What is moved
+    are packed blocks, data once for each group of queries and queries once for each group of data.
+    """
     rows = stage_table(usable(vectors, vec_id, vector, scale), "vectors")
-    n = rows.count() // block + 1
-    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    m = asked.count() // block + 1
-    data = _blocks(rows, n)
-    queries = _blocks(asked, m).select(
-        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), "size", F.col("ids").alias("q_ids"), F.col("vectors").alias("q"))
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                ids, q_ids = np.frombuffer(row.ids, np.int64), np.frombuffer(row.q_ids, np.int64)
-                of = lambda b: np.frombuffer(b, np.float64).reshape(-1, row.size)  # noqa: B023, E731
-                i, j, score, _ = search(of(row.q), q_ids, of(row.vectors), ids, k)
-                yield pd.DataFrame({"query_id": q_ids[i], "vec_id": ids[j], "score": score})
-
-    pairs = queries.join(data, ["block", "size"]).repartition(n * m, "block", "q_ids")
-    found = pairs.mapInPandas(visit, "query_id long, vec_id long, score long")
+    data = _blocks(rows, block)
+    queries = _blocks(rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), block)
+    n, m = (max(1, t.count()) for t in (data, queries))
+    of_queries = -(-m // GROUP)
+    # enough cells for all cores
+    of_data = max(-(-n // (4 * GROUP)), min(n, -(-4 * vectors.sparkSession.sparkContext.defaultParallelism // of_queries)))
+    cells = ("of_data", "of_queries", "size")
+    here = data.select(F.pmod("number", F.lit(of_data)).alias("of_data"), F.explode(F.sequence(F.lit(0), F.lit(of_queries - 1))).alias("of_queries"),
+                       "size", "largest", "ids", "vectors")
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(of_data - 1))).alias("of_data"),
+                           F.pmod("number", F.lit(of_queries)).alias("of_queries"), "size", "largest", "ids", "vectors")
+
+    def visit(key, asked: pd.DataFrame, here: pd.DataFrame) -> pd.DataFrame:
+        size = int(key[2])
+        out = [pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score")})]
+        if len(asked) and len(here):
+            dtype = _type(asked["largest"].max() * here["largest"].max() * size)
+
+            def opened(row) -> tuple[np.ndarray, np.ndarray]:
+                return unpack(row.vectors, np.float64).reshape(-1, size), unpack(row.ids, np.int64)
+
+            parts = [Queries(*opened(row), k, dtype) for row in asked.itertuples()]
+            for row in here.itertuples():
+                block = Data(*opened(row), dtype)
+                for part in parts:
+                    part.visit(block)
+            for part, row in zip(parts, asked.itertuples()):
+                i, names, score = part.found()
+                out.append(pd.DataFrame({"query_id": unpack(row.ids, np.int64)[i], "vec_id": names, "score": score}))
+        return pd.concat(out)
+
+    # cells are long work on few bytes: they are not put together by their size, nor is there a task for each of very many
+    tasks = min(TASKS, of_data * of_queries)
+    asked, here = asked.repartition(tasks, *cells), here.repartition(tasks, *cells)
+    found = asked.groupBy(*cells).cogroup(here.groupBy(*cells)).applyInPandas(visit, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

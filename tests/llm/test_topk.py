@@ -1,3 +1,6 @@
+import re
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +80,27 @@ def test_pairs_of_nodes_are_pruned():
     points = np.floor((centres[rng.integers(0, 30, 4000)] + rng.normal(size=(4000, 8))) * 256)
     *_, products = M.search(points[:200], np.arange(200), points, np.arange(4000), 5)
     assert products < 0.5 * 200 * 4000
+
+
+def test_many_blocks_are_searched_by_few_tasks(spark):
+    rng = np.random.default_rng(7)
+    found = M.top_k(vectors(spark, [(i, rng.normal(size=4).tolist()) for i in range(400)]), F.col("vec_id") % 2 == 0, block=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert max(int(n) for n in re.findall(r"hashpartitioning\([^)]*, (\d+)\)", plan)) <= 2000
+
+
+def test_scores_of_a_block_are_held_in_part():
+    points = np.ones((6000, 64))
+    tracemalloc.start()
+    try:
+        M.search(points[:4000], np.arange(4000), points, np.arange(6000), 5)
+        assert tracemalloc.get_traced_memory()[1] < 120e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_groups_of_blocks_give_the_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(M, "GROUP", 2)
+    rng = np.random.default_rng(9)
+    rows = [(i, np.round(rng.normal(size=3), 1).tolist()) for i in range(200)] + [(i, [0.5] * 2) for i in range(200, 260)]
+    assert got(spark, rows, k=4, block=5) == brute(rows, lambda i: i % 5 == 0, 4)
