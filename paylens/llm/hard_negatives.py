@@ -10,8 +10,8 @@ with the highest plane negative (two's complement): shifts, lookups and addition
 
 Candidates are packed in place, block by block and ordered by (label, vec_id), and written to the shared folder; so are the anchors. Every
 block of anchors meets every block of candidates twice: for the positives it is scored against the rows of its own labels, for
-the negatives against those of other labels, so each product is computed once. Each meeting returns its best rows, which are
-merged by a window. An anchor's negatives of a positive with score p are the best of other labels whose score s
+the negatives against those of other labels, so each product is computed once. Blocks meet by groups, which return their best rows;
+these are merged by a window. An anchor's negatives of a positive with score p are the best of other labels whose score s
 satisfies low * p <= 100 * s <= high * p. Ties go to the smaller vec_id.
 
 Rows without id or label take no part, nor do vectors that are null, empty or hold null or non-finite components. Only vectors of equal length
@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylens.llm.blocks import pack, shards, unpack
+from paylens.llm.blocks import met, pack, shards, unpack
 from paylens.session import stage_table
 
 #: Rows of a block of candidates, at most and at least; anchors of a block.
@@ -37,8 +37,11 @@ BLOCK, LEAST, ANCHORS = 65_536, 4096, 4096
 #: Rows and anchors that are scored at a time: their scores and the tables of the anchors stay in a core's cache.
 TILE, ANCHOR_TILE = 1024, 64
 
-PACKED = "block string, size int, bits int, ids binary, labels binary, planes binary"
-ANCHOR_ROWS = "anchor_block string, size int, a_ids array<long>, a_labels binary, a_vectors binary"
+#: Blocks of a group of anchors and of a group of candidates.
+ANCHOR_GROUP, GROUP = 32, 8
+
+PACKED = "number int, size int, bits int, ids binary, labels binary, planes binary"
+ANCHOR_ROWS = "number int, anchor_block string, size int, a_ids array<long>, a_labels binary, a_vectors binary"
 
 
 def bit_planes(values: np.ndarray) -> tuple[np.ndarray, int]:
@@ -138,6 +141,9 @@ def _meet(anchors: Anchors, block: Block, same: bool) -> Iterator[tuple[slice, n
                 yield part, np.arange(start, end), scores(tables, block.planes[:, :, start:end])
 
 
+BEST = ["anchor_id", "slot", "vec_id", "score"]
+
+
 def _merged(parts: list[np.ndarray], k: int) -> pd.DataFrame:
     """The k best of all tiles per (anchor, slot), ties to the smaller id."""
     anchor, slot, vec_id, score = np.concatenate(parts, axis=1)
@@ -145,7 +151,7 @@ def _merged(parts: list[np.ndarray], k: int) -> pd.DataFrame:
     new = np.flatnonzero((np.diff(anchor[order], prepend=-1) != 0) | (np.diff(slot[order], prepend=-1) != 0)) if len(order) else order
     starts = np.repeat(new, np.diff(np.append(new, len(order))))
     order = order[np.arange(len(order)) - starts < k]
-    return pd.DataFrame({"anchor_id": anchor[order], "slot": slot[order], "vec_id": vec_id[order], "score": score[order]})
+    return pd.DataFrame(dict(zip(BEST, (x[order] for x in (anchor, slot, vec_id, score)))))
 
 
 def positives(anchors: Anchors, block: Block, k: int) -> pd.DataFrame:
@@ -213,10 +219,10 @@ def index(rows: DataFrame, limit: int) -> DataFrame:
         for i, (size, frame) in enumerate(_frames(batches, limit)):
             planes, bits = bit_planes(np.stack(frame["v"].to_numpy()))
             yield pd.DataFrame({
-                "block": [f"{part}-{i}"], "size": [size], "bits": [bits], "ids": [pack(frame["vec_id"].to_numpy(), np.int64)],
+                "number": [part + i], "size": [size], "bits": [bits], "ids": [pack(frame["vec_id"].to_numpy(), np.int64)],
                 "labels": [pack(frame["label"].to_numpy(), np.int64)], "planes": [planes.tobytes()]})
 
-    return stage_table(rows.mapInPandas(form, PACKED), "planes")
+    return stage_table(rows.mapInPandas(form, PACKED), "planes", large_rows=True)
 
 
 def anchor_blocks(rows: DataFrame, is_anchor: Column) -> DataFrame:
@@ -226,12 +232,12 @@ def anchor_blocks(rows: DataFrame, is_anchor: Column) -> DataFrame:
         part = TaskContext.get().partitionId()
         for i, (size, frame) in enumerate(_frames(batches, ANCHORS)):
             yield pd.DataFrame({
-                "anchor_block": [f"{part}-{i}"], "size": [size], "a_ids": [frame["vec_id"].to_numpy(np.int64)],
+                "number": [part + i], "anchor_block": [f"{part}-{i}"], "size": [size], "a_ids": [frame["vec_id"].to_numpy(np.int64)],
                 "a_labels": [pack(frame["label"].to_numpy(), np.int64)],
                 "a_vectors": [pack(np.stack(frame["v"].to_numpy()).reshape(-1), np.int64)]})
 
     one = rows.where(is_anchor).groupBy("vec_id").agg(F.min(F.struct("v", "label")).alias("m")).select("vec_id", "m.label", "m.v")
-    return stage_table(one.mapInPandas(form, ANCHOR_ROWS), "anchors")
+    return stage_table(one.mapInPandas(form, ANCHOR_ROWS), "anchors", large_rows=True)
 
 
 def mine(vectors: DataFrame, is_anchor: Column, label: Column | None = None, n_positives: int = 5, k: int = 3, low: int = 50,
@@ -241,20 +247,22 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column | None = None, n_p
     limit = min(block, max(LEAST, rows.count() // shards(vectors.sparkSession) + 1))
     data, anchors = index(rows, limit), anchor_blocks(rows, is_anchor)
 
-    # the stated anchors against all rows, block by block: the numbers of the blocks are all that is repeated
-    names = data.groupBy("size").agg(F.collect_list("block").alias("blocks"))
-    asked = anchors.join(names, "size").withColumn("block", F.explode("blocks")).drop("blocks")
-
-    def visit(work):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for row in batch.itertuples():
-                    yield work(row)
+    def meeting(k: int, work):
+        """The k best of a group of candidates per (anchor, slot); ``work`` finds those of a block."""
+        def run(size: int, asked: pd.DataFrame, here: pd.DataFrame) -> pd.DataFrame:
+            blocks = [Block(row) for row in here.itertuples()]
+            out = [_merged([np.zeros((4, 0), np.int64)], k)]
+            for row in asked.itertuples():
+                of = Anchors(row)
+                found = [work(row, of, b)[BEST].to_numpy(np.int64).T for b in blocks]
+                out.append(_merged([np.zeros((4, 0), np.int64), *found], k))
+            return pd.concat(out)
 
         return run
 
-    pairs = asked.join(data, ["block", "size"])
-    found = pairs.mapInPandas(visit(lambda row: positives(Anchors(row), Block(row), n_positives)), "anchor_id long, slot int, vec_id long, score long")
+    # the stated anchors against all rows, group by group
+    best_of = "anchor_id long, slot int, vec_id long, score long"
+    found = met(anchors, data, ANCHOR_GROUP, GROUP, meeting(n_positives, lambda row, of, b: positives(of, b, n_positives)), best_of)
     slot = F.row_number().over(Window.partitionBy("anchor_id").orderBy(F.desc("score"), "vec_id")) - 1
     first = stage_table(found.withColumn("slot", slot).where(F.col("slot") < n_positives), "positives")
 
@@ -262,15 +270,14 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column | None = None, n_p
     places = anchors.select("anchor_block", F.posexplode("a_ids").alias("place", "anchor_id"))
     listed = places.join(first, "anchor_id").groupBy("anchor_block").agg(F.collect_list(F.struct("place", "slot", "score")).alias("w")).select(
         "anchor_block", F.col("w.place").alias("places"), F.col("w.slot").alias("slots"), F.col("w.score").alias("wanted"))
-    again = asked.join(listed, "anchor_block").join(data, ["block", "size"])
+    again = stage_table(anchors.join(listed, "anchor_block"), "again", large_rows=True)
 
-    def second(row) -> pd.DataFrame:
-        of = Anchors(row)
+    def second(row, of: Anchors, block: Block) -> pd.DataFrame:
         wanted = np.full((len(of.ids), n_positives), NONE, np.int64)
         wanted[row.places, row.slots] = row.wanted
-        return negatives(of, Block(row), wanted, k, low, high)
+        return negatives(of, block, wanted, k, low, high)
 
-    hard = again.mapInPandas(visit(second), "anchor_id long, slot int, vec_id long, score long")
+    hard = met(again, data, ANCHOR_GROUP, GROUP, meeting(k, second), best_of)
     rank = F.row_number().over(Window.partitionBy("anchor_id", "slot").orderBy(F.desc("score"), "vec_id"))
     kept = hard.withColumn("rank", rank).where(F.col("rank") <= k)
     of = first.select("anchor_id", "slot", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))

@@ -27,15 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylens.llm.blocks import pack, unpack
+from paylens.llm.blocks import met, pack, unpack
 from paylens.session import stage_table
 
 #: Vectors per block, on average.
 BLOCK = 8192
 #: Blocks of a group of queries; a group of data has up to four times as many.
 GROUP = 16
-#: Scores that are held at a time, and tasks that search.
-SCORES, TASKS = 2**19, 2000
+#: Scores that are held at a time.
+SCORES = 2**19
 #: A pair of nodes is opened if at least this share of its products would be spared at once.
 SPARED = 0.25
 #: Nodes of up to so many vectors have no children: of data, of queries.
@@ -271,7 +271,7 @@ def _blocks(rows: DataFrame, limit: int) -> DataFrame:
             yield packed(number, size, whole)
             number += 1
 
-    return stage_table(rows.mapInPandas(form, "number int, size int, largest double, ids binary, vectors binary"), "blocks")
+    return stage_table(rows.mapInPandas(form, "number int, size int, largest double, ids binary, vectors binary"), "blocks", large_rows=True)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding",
@@ -284,18 +284,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     rows = stage_table(usable(vectors, vec_id, vector, scale), "vectors")
     data = _blocks(rows, block)
     queries = _blocks(rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), block)
-    n, m = (max(1, t.count()) for t in (data, queries))
-    of_queries = -(-m // GROUP)
-    # enough cells for all cores
-    of_data = max(-(-n // (4 * GROUP)), min(n, -(-4 * vectors.sparkSession.sparkContext.defaultParallelism // of_queries)))
-    cells = ("of_data", "of_queries", "size")
-    here = data.select(F.pmod("number", F.lit(of_data)).alias("of_data"), F.explode(F.sequence(F.lit(0), F.lit(of_queries - 1))).alias("of_queries"),
-                       "size", "largest", "ids", "vectors")
-    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(of_data - 1))).alias("of_data"),
-                           F.pmod("number", F.lit(of_queries)).alias("of_queries"), "size", "largest", "ids", "vectors")
-
-    def visit(key, asked: pd.DataFrame, here: pd.DataFrame) -> pd.DataFrame:
-        size = int(key[2])
+    def visit(size: int, asked: pd.DataFrame, here: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score")})]
         if len(asked) and len(here):
             dtype = _type(asked["largest"].max() * here["largest"].max() * size)
@@ -313,9 +302,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
                 out.append(pd.DataFrame({"query_id": unpack(row.ids, np.int64)[i], "vec_id": names, "score": score}))
         return pd.concat(out)
 
-    # cells are long work on few bytes: they are not put together by their size, nor is there a task for each of very many
-    tasks = min(TASKS, of_data * of_queries)
-    asked, here = asked.repartition(tasks, *cells), here.repartition(tasks, *cells)
-    found = asked.groupBy(*cells).cogroup(here.groupBy(*cells)).applyInPandas(visit, "query_id long, vec_id long, score long")
+    found = met(queries, data, GROUP, 4 * GROUP, visit, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

@@ -88,3 +88,26 @@ def test_repeated_rows_of_one_label_do_not_gather(spark):
     want = brute([r for r in rows if r[0] % 5 or r[0] > 2900 or r[0] < 50])
     asked = M.mine(table(spark, [r for r in rows if r[0] % 5 or r[0] > 2900 or r[0] < 50]), F.col("vec_id") % 5 == 0)
     assert sorted(map(tuple, asked.collect())) == want
+
+
+def test_rows_of_megabytes_are_written_in_small_row_groups(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from paylens import session
+    monkeypatch.setattr(M, "LEAST", 1)
+    monkeypatch.setattr(session, "scratch_path", lambda _, name: str(tmp_path / name))
+    # 13 dimensions of large numbers: 7 MB a block of 65,536 rows
+    rows = spark.range(400_000, numPartitions=1).select(
+        F.col("id").alias("vec_id"), F.lit(1).alias("label"), F.transform(F.sequence(F.lit(0), F.lit(12)), lambda i: F.xxhash64("id", i) % 2**40).alias("v"))
+    M.index(rows, 65_536)
+    file, = (tmp_path / "planes").glob("*.parquet")
+    of = pq.ParquetFile(file).metadata
+    assert of.num_rows == 7 and of.num_row_groups > 1
+
+
+def test_groups_of_blocks_give_the_same_rows(spark, monkeypatch):
+    for name, value in (("LEAST", 1), ("ANCHORS", 3), ("ANCHOR_GROUP", 2), ("GROUP", 2)):
+        monkeypatch.setattr(M, name, value)
+    rows = made(11, 160, 5) + made(12, 30, 2)
+    rows = [(i, v, label) for i, (_, v, label) in enumerate(rows)]
+    assert got(spark, rows, block=9) == brute(rows) != []
