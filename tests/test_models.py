@@ -303,3 +303,13 @@ def test_replay_carries_no_weights_in_its_rows(base):
     assert len(projects) == 4
     kept = [line.strip() for line in plan.splitlines() if line.strip(" +-:").startswith("Project [job_id") and "scalar-subquery" not in line]
     assert all("_w" not in line for line in kept)
+
+
+def test_replay_of_many_rows_is_compiled(tables, monkeypatch):
+    result = net.embedding_regressor(tables.features, NetParams(epochs=1, hidden=(8, 4)))
+    few = {r["job_id"]: r["y_pred"] for r in net_replay.replay(result).collect()}
+    monkeypatch.setattr(net_replay, "MANY", 0, raising=False)
+    many = net_replay.replay(result)
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(zip_with" not in plan
+    assert {r["job_id"]: r["y_pred"] for r in many.collect()} == pytest.approx(few, abs=1e-9)
